@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marginalia.llm import decontamination, packing, quality_rules, simhash, token_counts
+from marginalia.llm import decontamination, language_id, packing, quality_rules, simhash, token_counts
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -30,6 +30,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(_documents(spark, sf_dir))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_documents(spark, sf_dir))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -39,6 +43,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash": op4_simhash,
+    "op6_language_id": op6_language_id,
     "op8_decontamination": op8_decontamination,
 }
 
