@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marginalia.llm import decontamination, language_id, packing, quality_rules, simhash, token_counts, url_filters
+from marginalia.llm import decontamination, language_id, packing, pu_quality, quality_rules, simhash, token_counts, url_filters
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -38,6 +38,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.classify(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op6_language_id": op6_language_id,
     "op8_decontamination": op8_decontamination,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filters": op10_url_filters,
 }
 
