@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marginalia.llm import decontamination, language_id, packing, pu_quality, quality_rules, simhash, token_counts, url_filters
+from marginalia.llm import decontamination, language_id, ngram_lm, packing, pu_quality, quality_rules, simhash, token_counts, url_filters
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -30,6 +30,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(_documents(spark, sf_dir))
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(_documents(spark, sf_dir))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_documents(spark, sf_dir))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash": op4_simhash,
+    "op5_language_model": op5_language_model,
     "op6_language_id": op6_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
