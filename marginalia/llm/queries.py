@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marginalia.llm import decontamination, language_id, ngram_lm, packing, pu_quality, quality_rules, simhash, token_counts, url_filters
+from marginalia.llm import decontamination, language_id, licenses, ngram_lm, packing, pu_quality, quality_rules, simhash, token_counts, url_filters
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -38,6 +38,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_documents(spark, sf_dir))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licensed(_documents(spark, sf_dir))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_language_model": op5_language_model,
     "op6_language_id": op6_language_id,
+    "op7_license_scan": op7_license_scan,
     "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filters": op10_url_filters,
