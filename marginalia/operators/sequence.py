@@ -1,0 +1,90 @@
+"""Order-consistent selection with abstention.
+
+Groups are chapters or orders: small and independent, so the dynamic programs
+run per group.
+"""
+
+from __future__ import annotations
+
+from bisect import bisect_right
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def trusted(values: list[int]) -> list[bool]:
+    """Which elements are in every longest non-decreasing subsequence."""
+
+    def lengths(seq: list[int]) -> list[int]:
+        ends: list[int] = []
+        out = []
+        for v in seq:
+            k = bisect_right(ends, v)
+            ends[k : k + 1] = [v]
+            out.append(k + 1)
+        return out
+
+    ahead = lengths(values)
+    behind = lengths([-v for v in reversed(values)])[::-1]
+    best = max(ahead, default=0)
+    on = [a + b - 1 == best for a, b in zip(ahead, behind, strict=True)]
+    alone: dict[int, int] = {}
+    for a, there in zip(ahead, on, strict=True):
+        if there:
+            alone[a] = alone.get(a, 0) + 1
+    return [there and alone[a] == 1 for a, there in zip(ahead, on, strict=True)]
+
+
+def trusted_anchors(rows: DataFrame, by: str, order: str, value: str) -> DataFrame:
+    """``rows`` with ``trusted``: in every longest non-decreasing run of
+    values of the group."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("trusted", T.BooleanType())])
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(order, kind="stable")
+        return frame.assign(trusted=trusted(frame[value].astype(int).tolist()))
+
+    return rows.groupBy(by).applyInPandas(run, schema)
+
+
+def align(nodes: list[tuple[int, int, float]], margin: float = 1.0) -> list[str]:
+    """Statuses of (position, number, weight) nodes: ``selected`` if on the
+    heaviest path of growing positions and numbers and worth ``margin`` more
+    than the heaviest path without it, ``ambiguous`` if on it by less,
+    ``rejected`` otherwise.  Consecutive numbers are worth 2 more."""
+
+    def best(skip: int = -1) -> tuple[float, tuple[int, ...]]:
+        order = sorted(i for i in range(len(nodes)) if i != skip)
+        order.sort(key=lambda i: (nodes[i][0], nodes[i][1], i))
+        top: dict[int, tuple[float, tuple[int, ...]]] = {}
+        for i in order:
+            p, n, w = nodes[i]
+            options = [(w, (i,))]
+            for j, (score, path) in top.items():
+                if nodes[j][0] < p and nodes[j][1] < n:
+                    options.append((score + w + 2 * (nodes[j][1] + 1 == n), (*path, i)))
+            top[i] = min(options, key=lambda o: (-o[0], o[1]))
+        return min(top.values(), key=lambda o: (-o[0], o[1]), default=(0.0, ()))
+
+    whole, path = best()
+    return [("selected" if whole - best(i)[0] >= margin else "ambiguous") if i in path else "rejected" for i in range(len(nodes))]
+
+
+def aligned(rows: DataFrame, by: str, position: str, number: str, weight: str, margin: float = 1.0) -> DataFrame:
+    """``rows`` with the ``status`` of each node of its group."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("status", T.StringType())])
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        nodes = list(zip(frame[position].astype(int), frame[number].astype(int), frame[weight].astype(float), strict=True))
+        return frame.assign(status=align(nodes, margin))
+
+    return rows.groupBy(by).applyInPandas(run, schema)
+
+
+def retries(candidates: DataFrame, wanted: DataFrame, by: str) -> DataFrame:
+    """Options for missing numbers from readings that hold their digits."""
+    digits = F.regexp_replace("reading", r"[^0-9]", "")
+    read = candidates.select(by, "candidate", F.explode("readings").alias("reading")).where(digits != "").select(by, "candidate", digits.cast("int").alias("number"))
+    return read.join(wanted, [by, "number"], "left_semi").groupBy(by, "candidate", "number").agg(F.count("*").alias("votes"))

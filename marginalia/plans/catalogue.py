@@ -1,7 +1,9 @@
-"""Registered queries of the reference operators and their DuckDB twins."""
+"""All registered queries of the engine and their DuckDB twins."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from marginalia.plans import relations, texts
+
+QUERIES = texts.QUERIES | relations.QUERIES
+ORACLE_SQL = texts.SQL | relations.SQL
 FLAGSHIP = "review_queue"
