@@ -187,10 +187,10 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     only where their whole component has none (one of them)."""
     key = options.get("key", "doc_id")
     kept = classes(docs, **options).where(F.col(key).eqNullSafe(F.col("component_id")))
-    kept = materialize(kept.groupBy(key).agg(F.count("*").alias("copies")), "kept")
-    found = docs.join(kept.select(F.col(key).alias("__kept"), "copies"), F.col(key).eqNullSafe(F.col("__kept")))
+    kept = materialize(kept.groupBy(key).agg(F.count("*").alias("__copies")), "kept")
+    found = docs.join(kept.select(F.col(key).alias("__kept"), "__copies"), F.col(key).eqNullSafe(F.col("__kept")))
     once = found.select(docs.columns)
-    if kept.where("copies > 1").isEmpty():
+    if kept.where("__copies > 1").isEmpty():
         return once
-    again = found.where("copies > 1").select(docs.columns).dropDuplicates([key])
-    return found.where("copies = 1").select(docs.columns).unionByName(again)
+    again = found.where("__copies > 1").select(docs.columns).dropDuplicates([key])
+    return found.where("__copies = 1").select(docs.columns).unionByName(again)
