@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.llm import decontamination, language_id, packing, quality_rules, simhash
-from marginalia.llm.storage import materialize
+from marginalia.llm.storage import free_name, materialize
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +35,9 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     found = decontamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = found.where("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+    name = free_name(docs, "bad")
+    bad = found.where("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.llm.storage import free_name
+
 DIMENSIONS = 1024
 #: Name of texts without a letter.
 UNDETERMINED = "und"
@@ -206,6 +208,7 @@ def identify(docs: DataFrame, *, text: str = "text", key: str = "doc_id", lang:
 def keep_known(docs: DataFrame, *, min_score: float = MIN_SCORE, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose language is found with at least ``min_score``;
     rows that repeat a key go if any of them is rejected."""
+    name = free_name(docs, "bad")
     found = identify(docs, text=text, key=key, lang=lang)
-    bad = found.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < min_score)).select(F.col(key).alias("__bad")).distinct()
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("__bad")), "left_anti")
+    bad = found.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < min_score)).select(F.col(key).alias(name)).distinct()
+    return docs.join(bad, F.col(key).eqNullSafe(F.col(name)), "left_anti")

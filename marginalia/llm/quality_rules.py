@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.llm.native_text import SPACE, space_words
-from marginalia.llm.storage import materialize
+from marginalia.llm.storage import free_name, materialize
 
 #: Share of a group's rows that the estimate rests on.
 COVER = 0.6
@@ -239,5 +239,6 @@ def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the rules keep; rows that repeat a key are
     judged together and go if any of them is rejected."""
     key = options.get("key", "doc_id")
-    bad = judged(docs, **options).where("not kept").select(F.col(key).alias("__bad")).distinct()
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("__bad")), "left_anti")
+    name = free_name(docs, "bad")
+    bad = judged(docs, **options).where("not kept").select(F.col(key).alias(name)).distinct()
+    return docs.join(bad, F.col(key).eqNullSafe(F.col(name)), "left_anti")

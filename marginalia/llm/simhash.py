@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.components import connected_components
-from marginalia.llm.storage import materialize
+from marginalia.llm.storage import free_name, materialize
 
 CODE_BITS = 63
 SHINGLE_WORDS = 3
@@ -187,10 +187,10 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     only where their whole component has none (one of them)."""
     key = options.get("key", "doc_id")
     kept = classes(docs, **options).where(F.col(key).eqNullSafe(F.col("component_id")))
-    kept = materialize(kept.groupBy(key).agg(F.count("*").alias("__copies")), "kept")
-    found = docs.join(kept.select(F.col(key).alias("__kept"), "__copies"), F.col(key).eqNullSafe(F.col("__kept")))
-    once = found.select(docs.columns)
-    if kept.where("__copies > 1").isEmpty():
-        return once
-    again = found.where("__copies > 1").select(docs.columns).dropDuplicates([key])
-    return found.where("__copies = 1").select(docs.columns).unionByName(again)
+    name, copies = free_name(docs, "kept"), free_name(docs, "copies")
+    kept = materialize(kept.groupBy(F.col(key).alias(name)).agg(F.count("*").alias(copies)), "kept")
+    found = docs.join(kept, F.col(key).eqNullSafe(F.col(name)))
+    if kept.where(F.col(copies) > 1).isEmpty():
+        return found.select(docs.columns)
+    again = found.where(F.col(copies) > 1).select(docs.columns).dropDuplicates([key])
+    return found.where(F.col(copies) == 1).select(docs.columns).unionByName(again)
