@@ -15,70 +15,47 @@ is numbered by many tasks.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from marginalia.llm.storage import materialize
+from marginalia.llm.token_counts import byte_symbols
 
 CAPACITY = 2048
 END_ID = 0
-#: Encoded pieces of text held by a worker, in each of two generations.
-CACHE_ENTRIES = 300_000
 #: Pieces that one salt of a length holds, about; at least MIN_SALTS salts.
 SALT_ROWS, MIN_SALTS = 100_000, 64
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes.
+    """Ids of whole texts, as the ``tokenizers`` library gives them for a
+    byte-level BPE file.
 
-    A space before a non-space character always starts a new pre-token of a
-    byte-level BPE, so the library encodes each piece between such places once
-    and the bytes are joined.  Texts for which this doesn't hold (white space
-    in runs, strings of added tokens) are encoded whole."""
+    The file's vocabulary is handed to the ``tiktoken`` encoder, which gives
+    the same ids in a fifth of the time (the tests compare the two); texts
+    that hold the string of an added token go to the library itself."""
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
-        wanted: set[str] = set()
-        for text in texts:
-            head, *rest = text.split(" ")
-            if "" in rest or any(a in text for a in self.added) or any(p[0].isspace() for p in rest):
-                cut.append(None)
-                continue
-            parts = [head, *[" " + p for p in rest]]
-            cut.append(parts)
-            wanted.update(parts)
-        known = self.new
-        if len(known) > CACHE_ENTRIES:
-            self.old, self.new = known, {}
-            known = self.new
-        missing = []
-        for part in wanted.difference(known):
-            held = self.old.get(part)
-            if held is None:
-                missing.append(part)
-            else:
-                known[part] = held
-        for at in range(0, len(missing), 4096):
-            block = missing[at : at + 4096]
-            known.update(zip(block, self._whole(block), strict=True))
-        return [self._whole([t])[0] if parts is None else b"".join(map(known.__getitem__, parts)) for t, parts in zip(texts, cut, strict=True)]
+        self.library = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        byte = byte_symbols()
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        ranks = {bytes(map(byte.__getitem__, token)): i for token, i in vocabulary.items() if token not in self.added}
+        self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> np.ndarray:
+        if any(a in text for a in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.fast.encode_ordinary(text), "<u4")
 
 
 def cut(size: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -93,10 +70,7 @@ _encoders: dict[str, Encoder] = {}
 def pieces(docs: DataFrame, path: str, *, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
     """``key, piece, start, length, ids_crc32`` of every document's ids and
     one end id; a null text is empty and so a piece of length 1."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if path not in _encoders:
             _encoders[path] = Encoder(path)
         end = np.array([END_ID], "<u4").tobytes()
@@ -105,8 +79,8 @@ def pieces(docs: DataFrame, path: str, *, text: str = "text", key: str = "doc_id
                 batch = whole.slice(at, 512)
                 keys = batch.column(0)
                 rows: tuple[list, ...] = ([], [], [], [], [])
-                for i, ids in enumerate(_encoders[path].encode([t or "" for t in batch.column(1).to_pylist()])):
-                    ids += end
+                for i, text_ in enumerate(batch.column(1).to_pylist()):
+                    ids = _encoders[path].encode(text_ or "").tobytes() + end
                     for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                         for column, value in zip(rows, (i, piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])), strict=True):
                             column.append(value)

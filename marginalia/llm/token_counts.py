@@ -46,7 +46,7 @@ class _Cache(dict):
         return value
 
 
-def _byte_symbols() -> dict[str, int]:
+def byte_symbols() -> dict[str, int]:
     """The printable stand-in character of every byte in byte-level files:
     printable Latin-1 bytes stand for themselves, the others follow from 256."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -60,7 +60,7 @@ class HeapCounter:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        ids = _byte_symbols()
+        ids = byte_symbols()
         self.rank: dict[int, int] = {}
         self.made: list[int] = []
         for rank, (left, right) in enumerate(model["model"]["merges"]):

@@ -31,6 +31,17 @@ def test_counts_equal_the_library(library):
     assert counter.count(long) == len(library.encode(long, add_special_tokens=False).ids)
 
 
+def test_ids_equal_the_library(library):
+    encoder = packing.Encoder(BPE)
+    r = random.Random(6)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["a" + "".join(f"{c} {c}b1 " for c in every[i : i + 40]) for i in range(0, len(every), 40)]
+    texts += ["".join(r.choice("aeionrstlh  \n.,'!") for _ in range(r.randint(0, 40))) for _ in range(4000)]
+    texts += ["".join(chr(r.randint(0x20, 0x24F)) for _ in range(30)) for _ in range(2000)] + ["", " ", "a<|endoftext|> b", "x" * 5000]
+    for text, ids in zip(texts, library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        assert encoder.encode(text).tolist() == ids.ids, repr(text)
+
+
 def test_counts_with_a_small_cache(library):
     counter = token_counts.HeapCounter(BPE)
     for cache in (counter.pieces, counter.words, counter.heads):
