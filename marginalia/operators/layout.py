@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marginalia.functions import text as X
 from marginalia.operators.windows import islands
@@ -17,32 +18,41 @@ SAME_ROW = 0.008
 GAP, INDENT = 0.012, 0.018
 
 
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _groups(columns: pd.Series, centres: pd.Series) -> pd.Series:
+    """The number of each piece's row; pieces come by column and centre."""
+
+    def one(cols, places) -> list[int]:
+        out, number, held, column = [], -1, [], None
+        for col, c in zip(cols, places, strict=True):
+            if column != col or not held or abs(c - sum(held) / len(held)) >= SAME_ROW:
+                number, held = number + 1, []
+            column = col
+            held.append(c)
+            out.append(number)
+        return out
+
+    return pd.Series([one(*x) for x in zip(columns, centres, strict=True)])
+
+
 def merge_rows(rows: DataFrame) -> DataFrame:
     """Pieces of a row joined: sorted by centre, a piece joins the open group
     while its centre is within :data:`SAME_ROW` of the group's mean centre.
 
     ``rows(page, col, x0, y0, x1, y1, text, confidence)``; texts are joined in
     order of x0, boxes united, confidence is the least, missing counting 1.
-    The mean moves with the group, so a page column is folded in order.
+    The mean moves with the group, so a page is folded in order; pages are
+    gathered in the JVM and folded many at a time.
     """
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.assign(c=(frame.y0 + frame.y1) / 2).sort_values(["col", "c", "x0"], kind="stable")
-        group, number, centres, column = [], -1, [], None
-        for col, c in zip(frame.col, frame.c, strict=True):
-            if column != col or not centres or abs(c - sum(centres) / len(centres)) >= SAME_ROW:
-                number, centres = number + 1, []
-            column = col
-            centres.append(c)
-            group.append(number)
-        frame = frame.assign(g=group, confidence=frame.confidence.fillna(1.0)).sort_values(["g", "x0"], kind="stable")
-        out = frame.groupby("g", as_index=False).agg(
-            page=("page", "first"), col=("col", "first"), text=("text", " ".join), x0=("x0", "min"), y0=("y0", "min"), x1=("x1", "max"), y1=("y1", "max"), confidence=("confidence", "min")
-        )
-        return out.drop(columns="g")
-
-    schema = "page bigint, col int, text string, x0 double, y0 double, x1 double, y1 double, confidence double"
-    return rows.groupBy("page").applyInPandas(run, schema)
+    piece = F.struct("col", ((F.col("y0") + F.col("y1")) / 2).alias("c"), "x0", "y0", "x1", "y1", "text", F.coalesce("confidence", F.lit(1.0)).alias("confidence"))
+    pages = rows.groupBy("page").agg(F.array_sort(F.collect_list(piece)).alias("r"))
+    numbered = pages.select("page", F.explode(F.arrays_zip("r", _groups(F.transform("r", lambda x: x["col"]), F.transform("r", lambda x: x["c"])).alias("g"))).alias("p"))
+    one = numbered.groupBy("page", F.col("p.g").alias("g")).agg(
+        F.min("p.r.col").alias("col"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p.r.x0", "p.r.c", "p.r.text"))), lambda x: x["text"]), " ").alias("text"),
+        *[f(f"p.r.{c}").alias(c) for c, f in (("x0", F.min), ("y0", F.min), ("x1", F.max), ("y1", F.max), ("confidence", F.min))],
+    )
+    return one.drop("g")
 
 
 def paragraphs(rows: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from bisect import bisect_right
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,16 +37,24 @@ def trusted(values: list[int]) -> list[bool]:
     return [there and alone[a] == 1 for a, there in zip(ahead, on, strict=True)]
 
 
+def _with(rows: DataFrame, by: str, order: list[str], name: str, value) -> DataFrame:
+    """``rows`` with a column that ``value`` makes from each group's ordered
+    rows.  Groups are gathered in the JVM and handed over many at a time, so a
+    group costs a list and not a call."""
+    gathered = rows.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(*order, *[c for c in rows.columns if c not in order]))).alias("_rows"))
+    pairs = gathered.select(F.explode(F.arrays_zip(F.col("_rows").alias("r"), value(F.col("_rows")).alias("v"))).alias("p"))
+    return pairs.select(*[F.col(f"p.r.{c}").alias(c) for c in rows.columns], F.col("p.v").alias(name))
+
+
+@F.pandas_udf(T.ArrayType(T.BooleanType()))
+def _trusted(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: trusted([int(x) for x in v]))
+
+
 def trusted_anchors(rows: DataFrame, by: str, order: str, value: str) -> DataFrame:
     """``rows`` with ``trusted``: in every longest non-decreasing run of
     values of the group."""
-    schema = T.StructType([*rows.schema.fields, T.StructField("trusted", T.BooleanType())])
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order, kind="stable")
-        return frame.assign(trusted=trusted(frame[value].astype(int).tolist()))
-
-    return rows.groupBy(by).applyInPandas(run, schema)
+    return _with(rows, by, [order, value], "trusted", lambda r: _trusted(F.transform(r, lambda x: x[value].cast("long"))))
 
 
 def align(nodes: list[tuple[int, int, float]], margin: float = 1.0) -> list[str]:
@@ -74,13 +82,15 @@ def align(nodes: list[tuple[int, int, float]], margin: float = 1.0) -> list[str]
 
 def aligned(rows: DataFrame, by: str, position: str, number: str, weight: str, margin: float = 1.0) -> DataFrame:
     """``rows`` with the ``status`` of each node of its group."""
-    schema = T.StructType([*rows.schema.fields, T.StructField("status", T.StringType())])
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        nodes = list(zip(frame[position].astype(int), frame[number].astype(int), frame[weight].astype(float), strict=True))
-        return frame.assign(status=align(nodes, margin))
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def statuses(positions: pd.Series, numbers: pd.Series, weights: pd.Series) -> pd.Series:
+        return pd.Series([align([(int(p), int(n), float(w)) for p, n, w in zip(*g, strict=True)], margin) for g in zip(positions, numbers, weights, strict=True)])
+
+    def value(r: Column) -> Column:
+        return statuses(F.transform(r, lambda x: x[position].cast("long")), F.transform(r, lambda x: x[number].cast("long")), F.transform(r, lambda x: x[weight].cast("double")))
 
-    return rows.groupBy(by).applyInPandas(run, schema)
+    return _with(rows, by, [position, number], "status", value)
 
 
 def retries(candidates: DataFrame, wanted: DataFrame, by: str) -> DataFrame:
