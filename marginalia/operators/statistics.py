@@ -75,6 +75,14 @@ def nearest_rank(values: Column, share: float) -> Column:
     return F.when(F.size(values) > 0, F.try_element_at(F.array_sort(values), at))
 
 
+def counted_rank(counts: DataFrame, by: str, value: str, n: str, shares: dict[str, float]) -> DataFrame:
+    """Nearest-rank quantiles per group from counts of distinct values."""
+    order = Window.partitionBy(by).orderBy(value)
+    upto = counts.withColumn("_upto", F.sum(n).over(order)).withColumn("_total", F.sum(n).over(Window.partitionBy(by)))
+    reached = {name: F.min(F.when(F.col("_upto") > F.bround((F.col("_total") - 1) * F.lit(share)), F.col(value))) for name, share in shares.items()}
+    return upto.groupBy(by).agg(*[e.alias(name) for name, e in reached.items()])
+
+
 def glossary(tokens: DataFrame, least: int = 3) -> DataFrame:
     """Capitalised recurring terms that never occur in lower case and at least
     once inside a line."""

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from marginalia.plans import relations, texts
+from marginalia.plans import pages, relations, texts
 
-QUERIES = texts.QUERIES | relations.QUERIES
-ORACLE_SQL = texts.SQL | relations.SQL
+QUERIES = texts.QUERIES | relations.QUERIES | pages.QUERIES
+ORACLE_SQL = texts.SQL | relations.SQL | pages.SQL
 FLAGSHIP = "review_queue"
