@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,30 +83,34 @@ def character_errors(pages: DataFrame, group: str) -> DataFrame:
     )
 
 
+#: Cumulative probabilities of the Poisson distribution of mean 1.
+_POISSON = [0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406, 0.999917]
+
+
+def _draws(*parts: Column) -> Column:
+    """How often something is drawn: a Poisson number made from a hash."""
+    share = F.pmod(F.xxhash64(*parts), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    out = F.lit(len(_POISSON))
+    for n, top in reversed(list(enumerate(_POISSON))):
+        out = F.when(share < top, n).otherwise(out)
+    return out
+
+
 def bootstrap(rows: DataFrame, book: str, page: str, value: str, replicates: int = 200, seed: int = 7) -> DataFrame:
     """95 % intervals of a mean by resampling books, then pages.
 
-    Each replicate draws books, then pages within each draw, with replacement;
-    draws come from a hash of (seed, replicate, place), so a run can be
-    repeated.  Pages are first reduced to a sum and a count; what is drawn from
-    is one row a page, ``replicates`` times.
+    How often a book, and a page of it, is drawn in a replicate is a Poisson
+    number made from a hash of (seed, replicate, book, page), the limit of
+    drawing with replacement.  So no group is gathered anywhere, each replicate
+    is pre-aggregated before the shuffle, and a run can be repeated.
     """
     pages = rows.groupBy(book, page).agg(F.sum(value).alias("s"), F.count(value).alias("c"))
-    books = pages.groupBy(book).agg(F.array_sort(F.collect_list(F.struct(page, "s", "c"))).alias("pages"))
-    order = [r[book] for r in books.select(book).orderBy(book).collect()]  # one row a book
-    n = len(order)
-    draws = rows.sparkSession.range(replicates).select(
-        F.col("id").alias("r"), F.posexplode(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.pmod(F.xxhash64(F.lit(seed), F.col("id"), i), F.lit(n)))).alias("d", "k")
-    )
-    keys = books.join(rows.sparkSession.createDataFrame([(b, i) for i, b in enumerate(order)], f"_b {books.schema[book].dataType.simpleString()}, k long"), F.col(book) == F.col("_b"))
-    drawn = draws.join(keys.select("k", "pages"), "k")
-    picked = drawn.select(
-        "r", F.explode(F.transform(F.sequence(F.lit(1), F.size("pages")), lambda i: F.element_at("pages", (F.pmod(F.xxhash64(F.lit(seed + 1), F.col("r"), F.col("d"), i), F.size("pages")) + 1).cast("int")))).alias("p")
-    )
-    means = picked.groupBy("r").agg((F.sum("p.s") / F.sum("p.c")).alias("m"))
-    values = F.array_sort(F.collect_list("m"))
-    return means.agg(values.alias("v")).select(
+    spread = pages.select(book, page, "s", "c", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
+    weight = _draws(F.lit(seed), F.col("r"), F.col(book)) * _draws(F.lit(seed + 1), F.col("r"), F.col(book), F.col(page))
+    drawn = spread.withColumn("w", weight).where("w > 0").groupBy("r").agg(F.try_divide(F.sum(F.col("w") * F.col("s")).cast("double"), F.sum(F.col("w") * F.col("c"))).alias("m"))
+    values = drawn.where(F.col("m").isNotNull()).agg(F.array_sort(F.collect_list("m")).alias("v")).where("size(v) > 0")
+    return values.select(
         F.size("v").alias("replicates"),
-        F.round(F.element_at("v", int((replicates - 1) * 0.025) + 1), 6).alias("low"),
-        F.round(F.element_at("v", math.ceil((replicates - 1) * 0.975) + 1), 6).alias("high"),
+        F.round(F.element_at("v", (F.floor((F.size("v") - 1) * F.lit(0.025)) + 1).cast("int")), 6).alias("low"),
+        F.round(F.element_at("v", (F.ceil((F.size("v") - 1) * F.lit(0.975)) + 1).cast("int")), 6).alias("high"),
     )

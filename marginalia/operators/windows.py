@@ -17,40 +17,33 @@ def review_curve(rows: DataFrame, score: str, key: str, error: str, budgets: lis
 
     Ranked by (-score, key).  A budget beyond the queue is clamped; an alarm
     budget takes the longest prefix, possibly empty, with no more false alarms.
-    Only numbers per rank chunk meet in one place: ranks are computed by range
-    partitions and their offsets, not in a single window.
+    Only as many first rows as the largest budget, and as many first false
+    alarms, are taken to the driver; the rest is one aggregation.
     """
-    ranked = ranks(rows.select(score, key, F.col(error).cast("int").alias("error")), [F.desc(score), F.asc(key)], {"n": F.lit(1), "errors": F.col("error")})
-    totals = ranked.agg(F.count("*").alias("size"), F.coalesce(F.sum("error"), F.lit(0)).alias("all_errors"))
-    wanted = [F.struct(F.lit("items").alias("kind"), F.lit(b).alias("budget")) for b in budgets] + [F.struct(F.lit("false_alarms").alias("kind"), F.lit(b).alias("budget")) for b in alarms]
-    budget = rows.sparkSession.range(1).select(F.explode(F.array(*wanted)).alias("b")).select("b.*")
-    inside = ((F.col("kind") == "items") & (F.col("n") <= F.col("budget"))) | ((F.col("kind") == "false_alarms") & (F.col("n") - F.col("errors") <= F.col("budget")))
-    met = budget.join(F.broadcast(totals)).join(ranked.select("n", "errors"), inside, "left")  # a handful of budgets
-    best = met.groupBy("kind", "budget", "all_errors").agg(F.coalesce(F.max("n"), F.lit(0)).alias("reviewed"), F.coalesce(F.max("errors"), F.lit(0)).alias("found"))
-    return best.select(
+    base = rows.select(F.col(score).alias("s"), F.col(key).alias("k"), F.col(error).cast("int").alias("e"))
+    order = [F.desc("s"), F.asc("k")]
+    first = base.orderBy(*order).limit(max(budgets, default=0)).collect()
+    wrong = base.where("e = 0").orderBy(*order).limit(max(alarms, default=-1) + 1).collect()
+    ends = {a: wrong[a] if a < len(wrong) else None for a in alarms}  # the false alarm that is too many
+    ahead = {a: F.lit(True) if w is None else (F.col("s") > w.s) | ((F.col("s") == w.s) & (F.col("k") < w.k)) for a, w in ends.items()}
+    whole = base.agg(
+        F.coalesce(F.sum("e"), F.lit(0)).alias("all"),
+        *[F.count_if(inside).alias(f"n{a}") for a, inside in ahead.items()],
+        *[F.coalesce(F.sum(F.when(inside, F.col("e"))), F.lit(0)).alias(f"e{a}") for a, inside in ahead.items()],
+    ).first()
+    found = [("items", b, min(b, len(first)), sum(r.e for r in first[:b])) for b in budgets]
+    found += [("false_alarms", a, whole[f"n{a}"], whole[f"e{a}"]) for a in alarms]
+    out = rows.sparkSession.createDataFrame([(*f, whole["all"]) for f in found], "kind string, budget int, reviewed long, found long, total long")
+    return out.select(
         "kind",
         "budget",
         "reviewed",
         "found",
         F.round(F.try_divide(F.col("found").cast("double"), F.col("reviewed")), 6).alias("precision"),
-        F.round(F.try_divide(F.col("found").cast("double"), F.col("all_errors")), 6).alias("recall"),
+        F.round(F.try_divide(F.col("found").cast("double"), F.col("total")), 6).alias("recall"),
     )
 
 
-def ranks(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
-    """Running sums over a total order without gathering rows in one task:
-    range partitions, running sums inside each, and offsets from one total per
-    partition."""
-    parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
-    w = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    local = parts.select("*", *[F.sum(e).over(w).alias(n) for n, e in sums.items()])
-    totals = local.groupBy("_part").agg(*[F.max(n).alias(f"_{n}") for n in sums])
-    later = totals.select(F.col("_part").alias("_p"), *[F.col(f"_{n}") for n in sums])
-    offsets = totals.select(F.col("_part").alias("_q")).join(later, F.col("_p") < F.col("_q"), "left").groupBy("_q").agg(*[F.coalesce(F.sum(f"_{n}"), F.lit(0)).alias(f"_{n}") for n in sums])
-    placed = local.join(offsets, F.col("_part") == F.col("_q"))
-    return placed.select(*rows.columns, *[(F.col(n) + F.col(f"_{n}")).alias(n) for n in sums])
-
-
 def forward_split(rows: DataFrame, by: str, page: str) -> DataFrame:
     """``seed``: whether the page is among the first fifth, one at least, of
     the distinct pages of its group."""
