@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import decontamination, language_id, packing, quality_rules, simhash
+from marginalia.llm import decontamination, language_id, near_copies, packing, quality_rules
 from marginalia.llm.storage import free_name, materialize
 
 
@@ -28,8 +28,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least doc_id, of each group of copies."""
-    return simhash.keep_one(docs)
+    """One document, that with the least doc_id, of each group of copies that
+    share 80 % of their five-word shingles."""
+    return near_copies.keep_one(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ connectivity and never lists all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -173,20 +173,31 @@ def classes(docs: DataFrame, *, text: str = "text", key: str = "doc_id", words:
     component's id unless all its keys are null.
     """
     marked = materialize(fingerprints(docs, text=text, key=key, words=words), "fingerprints")
+    found = placed(marked, lambda distinct: links(distinct, max_bits), key)
+    return found.select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def placed(marked: DataFrame, find: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
+    """``marked(key, fp)`` with ``component_id`` over the links that ``find``
+    gives for the distinct ``fp``."""
     distinct = materialize(marked.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
-    linked = connected_components(links(distinct, max_bits))
+    linked = connected_components(find(distinct))
     least = linked.join(distinct, linked.node == distinct.fp).groupBy("root").agg(F.min("first").alias("least"))
     moved = linked.join(least, "root").select(F.col("node").alias("fp"), "least")
-    placed = distinct.join(moved, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return marked.join(placed, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    at = distinct.join(moved, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    return marked.join(at, "fp").select(key, "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row with the
     least key; of rows that repeat that key, one.  Rows with a null key stay
     only where their whole component has none (one of them)."""
-    key = options.get("key", "doc_id")
-    kept = classes(docs, **options).where(F.col(key).eqNullSafe(F.col("component_id")))
+    return stay(docs, classes(docs, **options), options.get("key", "doc_id"))
+
+
+def stay(docs: DataFrame, classed: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` that are their component's least, one a key."""
+    kept = classed.where(F.col(key).eqNullSafe(F.col("component_id")))
     name, copies = free_name(docs, "kept"), free_name(docs, "copies")
     kept = materialize(kept.groupBy(F.col(key).alias(name)).agg(F.count("*").alias(copies)), "kept")
     found = docs.join(kept, F.col(key).eqNullSafe(F.col(name)))
