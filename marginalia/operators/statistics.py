@@ -95,16 +95,12 @@ def glossary(tokens: DataFrame, least: int = 3) -> DataFrame:
     return counted.where((F.col("count") >= least) & (F.col("lower") == 0) & (F.col("inner") > 0)).select("term", "form", "count", "inner")
 
 
-def theil_sen(df: DataFrame, by: str, x: str, y: str, most: int = 200) -> DataFrame:
-    """Median of pairwise slopes per group; groups of more than ``most``
-    points pair points ``k, k + n/2`` only (the incomplete form), so the work
-    stays linear."""
+def theil_sen(df: DataFrame, by: str, x: str, y: str) -> DataFrame:
+    """Median of the slopes of all pairs of points per group."""
     w = Window.partitionBy(by).orderBy(x)
-    rows = df.select(by, F.col(x).alias("x"), F.col(y).alias("y"), F.row_number().over(w).alias("k"), F.count("*").over(Window.partitionBy(by)).alias("n"))
+    rows = df.select(by, F.col(x).alias("x"), F.col(y).alias("y"), F.row_number().over(w).alias("k"))
     a, b = rows.alias("a"), rows.alias("b")
-    small = a.where(f"n <= {most}").join(b.where(f"n <= {most}"), (F.col(f"a.{by}") == F.col(f"b.{by}")) & (F.col("a.k") < F.col("b.k")))
-    large = a.where(f"n > {most}").join(b.where(f"n > {most}"), (F.col(f"a.{by}") == F.col(f"b.{by}")) & (F.col("b.k") == F.col("a.k") + F.expr("a.n div 2")))
-    ends = [F.col(f"a.{by}").alias(by), "a.x", "a.y", F.col("b.x").alias("x2"), F.col("b.y").alias("y2")]
-    slopes = small.select(ends).unionByName(large.select(ends))
+    pairs = a.join(b, (F.col(f"a.{by}") == F.col(f"b.{by}")) & (F.col("a.k") < F.col("b.k")))
+    slopes = pairs.select(F.col(f"a.{by}").alias(by), "a.x", "a.y", F.col("b.x").alias("x2"), F.col("b.y").alias("y2"))
     slope = (F.col("y2") - F.col("y")) / (F.col("x2") - F.col("x")).cast("double")
     return slopes.where("x2 <> x").groupBy(by).agg(F.round(F.median(slope), 6).alias("slope"), F.count("*").alias("pairs"))

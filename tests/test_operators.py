@@ -127,6 +127,15 @@ def test_theil_sen_ignores_an_outlier(spark):
     assert statistics.theil_sen(spark.createDataFrame(data, "g int, x int, y int"), "g", "x", "y").first().slope == 2.0
 
 
+def test_theil_sen_takes_all_pairs_of_a_long_group(spark):
+    r = random.Random(3)
+    data = [(1, i, r.randint(0, 100) + (i * i) // 50) for i in range(260)]
+    slopes = sorted((b[2] - a[2]) / (b[1] - a[1]) for a, b in combinations(data, 2))
+    n = len(slopes)
+    got = statistics.theil_sen(spark.createDataFrame(data, "g int, x int, y int"), "g", "x", "y").first()
+    assert (got.slope, got.pairs) == (round((slopes[(n - 1) // 2] + slopes[n // 2]) / 2, 6), n)
+
+
 def test_detector_order(spark):
     terms = spark.createDataFrame([("cat",), ("house",), ("zorgle",), ("house-boat",), ("house-zorgle",), ("guard",)], "term string")
     known = spark.createDataFrame([("house",), ("boat",), ("cat",)], "term string")
