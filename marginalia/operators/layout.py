@@ -122,17 +122,43 @@ def clustered(signatures: list[tuple[str, int]], least: float = 0.9) -> dict[str
     return out
 
 
+@F.pandas_udf(T.DoubleType())
+def _ratio(seeds: pd.Series, names: pd.Series) -> pd.Series:
+    return pd.Series([SequenceMatcher(None, s, n).ratio() for s, n in zip(seeds, names, strict=True)], dtype="float64")
+
+
+def _absorbed(singles: DataFrame, seeds: DataFrame, by: str, least: float = 0.9) -> DataFrame:
+    """``by, signature, seed, pages``: signatures of one page that resemble a
+    seed, with the first such seed.
+
+    Unequal texts of ratio 0.9 differ by so few edits for their length that
+    some run of three characters stays whole; texts meet there and are then
+    compared exactly."""
+    gram = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("signature") - 2, F.lit(1))), lambda i: F.col("signature").substr(i, F.lit(3)))))
+    one = singles.select(F.col(by), "signature", "pages", gram.alias("_gram"))
+    other = seeds.select(F.col(by).alias("_by"), F.col("signature").alias("seed"), F.col("pages").alias("_n"), gram.alias("_gram2"))
+    both = F.length("seed") + F.length("signature")
+    fits = 2 * F.least(F.length("seed"), F.length("signature")) >= least * both
+    met = one.join(other, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_gram") == F.col("_gram2")) & fits).select(by, "signature", "pages", "seed", "_n").distinct()
+    found = met.where(_ratio("seed", "signature") >= least)
+    first = F.min(F.struct((-F.col("_n")).alias("n"), F.col("seed").alias("seed")))
+    return found.groupBy(by, "signature", "pages").agg(first.alias("_first")).select(by, "signature", F.col("_first.seed").alias("seed"), "pages")
+
+
 def clustered_margins(rows: DataFrame, by: str) -> DataFrame:
-    """``by, signature, seed, pages`` per book; a book's distinct margin texts
-    are few and are clustered in order in one place."""
+    """``by, signature, seed, pages`` per book; a book's recurring margin texts
+    are few and are clustered in order in one place, then those of one page
+    join the seeds they resemble."""
     counts = rows.withColumn("signature", X.signature(F.col("text"))).where(F.col("signature") != "").groupBy(by, "signature").agg(F.count_distinct("page").alias("pages"))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         seeds = clustered(list(zip(frame.signature, frame.pages, strict=True)))
         return frame.assign(seed=frame.signature.map(seeds))[[by, "signature", "seed", "pages"]]
 
-    # texts of a page or two can't be margins; they only join seeds
-    return counts.where("pages >= 2").groupBy(by).applyInPandas(run, f"{by} string, signature string, seed string, pages bigint")
+    # texts of a page can't be seeds and come last in order; without a seed they are no margins
+    often = counts.where("pages >= 2").groupBy(by).applyInPandas(run, f"{by} string, signature string, seed string, pages bigint")
+    seeds = often.where("signature = seed and pages >= 3").select(by, "signature", "pages")
+    return often.unionByName(_absorbed(counts.where("pages = 1"), seeds, by))
 
 
 def role(text: Column, y: Column, first: Column) -> Column:

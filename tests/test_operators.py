@@ -241,6 +241,26 @@ def test_header_variants_never_chain():
     assert got["AAAAAAAAAB"] == "AAAAAAAAAA" and got["AAAAAAAABB"] == "AAAAAAAABB"
 
 
+def test_single_misreadings_join_their_seed(spark):
+    r = random.Random(8)
+    names = ["".join(r.choice("ABCDEFGH") for _ in range(n)) for n in (6, 11, 19, 20, 40, 41, 90)]
+    data = [("b", page, name) for name in names for page in range(3)]
+    for name in names:
+        for k in range(1, 8):
+            other = list(name)
+            for _ in range(k):
+                other[r.randrange(len(other))] = r.choice(["X", "", "YZ"])
+            data.append(("b", 100 + len(data), "".join(other)))
+    data += [("b", 900, "ALONE AND UNLIKE"), ("c", 1, names[4][1:])]
+    pages = {}
+    for book, page, text in data:
+        pages.setdefault((book, text), set()).add(page)
+    wanted = {("b", n, s) for n, s in layout.clustered([(t, len(p)) for (b, t), p in pages.items() if b == "b"]).items() if s != n or len(pages["b", n]) > 1}
+    got = layout.clustered_margins(spark.createDataFrame(data, "book string, page int, text string"), "book").collect()
+    assert {(x.book, x.signature, x.seed) for x in got} == wanted and len(got) == len(wanted)
+    assert sum(x.pages == 1 for x in got) > 5
+
+
 def test_boxes_group():
     assert layout.group_boxes([(0, 0, 1, 1), (0, 1.02, 1, 2), (0, 3, 1, 4)]) == [(0, 0, 1, 2), (0, 3, 1, 4)]
 
