@@ -156,7 +156,7 @@ def detection(spark, folder):
     SELECT g, characters, eb AS edits_before, ea AS edits_after, round(eb / characters::DOUBLE, 6) AS cer_before, round(ea / characters::DOUBLE, 6) AS cer_after, round((eb - ea) / nullif(eb, 0)::DOUBLE, 6) AS reduction FROM t""",
 )
 def cer(spark, folder):
-    rows = T.table(spark, folder, "benchmark").where(~F.col("text").rlike(r"[^\x00-\x7F]"))
+    rows = T.table(spark, folder, "benchmark")  # the SQL twin counts bytes and takes ASCII items only
     pages = rows.select((F.col("item_id") % 4).alias("g"), F.translate("text", "lO", "10").alias("before"), F.col("text").alias("truth"), F.translate("text", "O", "0").alias("output"))
     return evaluation.character_errors(pages, "g")
 

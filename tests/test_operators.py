@@ -55,6 +55,30 @@ def test_review_curve(spark, parts):
             assert row.reviewed == n and row.found == sum(order[:n])
 
 
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_character_errors_count_accented_items(spark, tmp_path):
+    from marginalia.plans import catalogue
+
+    texts = ["Ol\u00e9 l'\u00e9t\u00e9 Oui", "plain lOl", "\u6f22\u5b57 \U0001f600 Ol", "O\u0308 ll", "no", "l\u00e0"]
+    spark.createDataFrame(list(enumerate(texts)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    wanted = {}
+    for i, t in enumerate(texts):
+        sums = wanted.setdefault(i % 4, [0, 0, 0])
+        read, output = t.translate(str.maketrans("lO", "10")), t.replace("O", "0")
+        for k, n in enumerate((len(t), _edits(read, t), _edits(output, t))):
+            sums[k] += n
+    got = catalogue.QUERIES["a7_cer"](spark, str(tmp_path)).collect()
+    assert {r.g: [r.characters, r.edits_before, r.edits_after] for r in got} == wanted
+
+
 def test_bootstrap_repeats_and_covers_the_mean(spark):
     data = [(f"b{i % 6}", i, float(i % 3 == 0)) for i in range(300)]
     df = spark.createDataFrame(data, "book string, page int, v double")
