@@ -82,7 +82,8 @@ def splits(ours: str, theirs: str) -> list[tuple[int, str]]:
 
 
 def repaired(text: str, witnesses: list[str | None]) -> tuple[str, list[str]]:
-    """A row after the source-faithful rules, with the audit kinds in order.
+    """A row after four of the source-faithful rules, with the audit kinds in
+    order; the README names those not built.
 
     Rules: illegal characters become U+FFFD; a token changes if two witnesses
     agree on a plausible alphabetic one; a hyphen between words becomes an em
