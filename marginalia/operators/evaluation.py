@@ -102,13 +102,16 @@ def bootstrap(rows: DataFrame, book: str, page: str, value: str, replicates: int
     How often a book, and a page of it, is drawn in a replicate is a Poisson
     number made from a hash of (seed, replicate, book, page), the limit of
     drawing with replacement.  So no group is gathered anywhere, each replicate
-    is pre-aggregated before the shuffle, and a run can be repeated.
+    is pre-aggregated before the shuffle, and a run can be repeated.  Fewer
+    than two books give no interval and no row.
     """
     pages = rows.groupBy(book, page).agg(F.sum(value).alias("s"), F.count(value).alias("c"))
     spread = pages.select(book, page, "s", "c", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
     weight = _draws(F.lit(seed), F.col("r"), F.col(book)) * _draws(F.lit(seed + 1), F.col("r"), F.col(book), F.col(page))
     drawn = spread.withColumn("w", weight).where("w > 0").groupBy("r").agg(F.try_divide(F.sum(F.col("w") * F.col("s")).cast("double"), F.sum(F.col("w") * F.col("c"))).alias("m"))
     values = drawn.where(F.col("m").isNotNull()).agg(F.array_sort(F.collect_list("m")).alias("v")).where("size(v) > 0")
+    books = pages.agg(F.count_distinct(book).alias("_books"))
+    values = values.crossJoin(books).where("_books >= 2")
     return values.select(
         F.size("v").alias("replicates"),
         F.round(F.element_at("v", (F.floor((F.size("v") - 1) * F.lit(0.025)) + 1).cast("int")), 6).alias("low"),

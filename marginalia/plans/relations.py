@@ -243,7 +243,7 @@ def review_sessions(spark, folder):
 @query("a28_bootstrap")
 def bootstrap(spark, folder):
     rows = T.table(spark, folder, "labels").join(T.table(spark, folder, "documents").select("doc_id", "source"), "doc_id")
-    return evaluation.bootstrap(rows, "source", "doc_id", "quality")
+    return evaluation.bootstrap(rows, "source", "doc_id", "quality", replicates=1000)
 
 
 @query("q1_align")

@@ -86,6 +86,17 @@ def test_bootstrap_repeats_and_covers_the_mean(spark):
     assert one == two and one.low < 1 / 3 < one.high and one.replicates == 200
 
 
+def test_bootstrap_query_draws_1000_and_needs_two_books(spark, tmp_path):
+    from marginalia.plans import catalogue
+
+    spark.createDataFrame([(i, f"s{i % 3}") for i in range(60)], "doc_id long, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = catalogue.QUERIES["a28_bootstrap"](spark, str(tmp_path)).first()
+    assert 900 < got.replicates <= 1000 and got.low < 0.5 < got.high  # a replicate that draws no book has no mean
+    one = spark.createDataFrame([("b", i, float(i)) for i in range(20)], "book string, page int, v double")
+    assert evaluation.bootstrap(one, "book", "page", "v").count() == 0
+
+
 def test_nearest_against_brute_force(spark):
     r = random.Random(1)
     left = [(i, r.randint(0, 2), r.randint(0, 300)) for i in range(60)]
