@@ -131,15 +131,31 @@ def _absorbed(singles: DataFrame, seeds: DataFrame, by: str, least: float = 0.9)
     """``by, signature, seed, pages``: signatures of one page that resemble a
     seed, with the first such seed.
 
-    Unequal texts of ratio 0.9 differ by so few edits for their length that
-    some run of three characters stays whole; texts meet there and are then
-    compared exactly."""
-    gram = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("signature") - 2, F.lit(1))), lambda i: F.col("signature").substr(i, F.lit(3)))))
-    one = singles.select(F.col(by), "signature", "pages", gram.alias("_gram"))
-    other = seeds.select(F.col(by).alias("_by"), F.col("signature").alias("seed"), F.col("pages").alias("_n"), gram.alias("_gram2"))
-    both = F.length("seed") + F.length("signature")
-    fits = 2 * F.least(F.length("seed"), F.length("signature")) >= least * both
-    met = one.join(other, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_gram") == F.col("_gram2")) & fits).select(by, "signature", "pages", "seed", "_n").distinct()
+    Texts of ratio 0.9 differ by at most a tenth of both lengths in inserted
+    and deleted characters.  A seed is cut into one piece more than the most
+    such edits, three characters or longer, so one piece stays whole and moves
+    by no more places than there are edits; texts meet by its first three
+    characters and are then compared exactly."""
+    n = F.length("signature")
+    edits = F.floor(n * 2 / 9)
+    short = n < 6
+    step = F.when(short, 1).otherwise(F.floor(n / (edits + 1))).cast("int")
+    pieces = F.when(short, F.greatest(n - 2, F.lit(1))).otherwise(edits + 1).cast("int")
+
+    def grams(count: Column, apart: Column) -> Column:
+        starts = F.transform(F.sequence(F.lit(0), count - 1), lambda i: i * apart)
+        return F.explode(F.transform(starts, lambda i: F.struct(i.alias("at"), F.col("signature").substr(i + 1, F.lit(3)).alias("text"))))
+
+    # only numbers travel with the pieces, texts come back for the pairs that met
+    one = singles.select(F.col(by), F.xxhash64("signature").alias("_id"), n.alias("_len"), grams(F.greatest(n - 2, F.lit(1)), F.lit(1)).alias("_a"))
+    other = seeds.select(F.col(by).alias("_by"), F.xxhash64("signature").alias("_id2"), n.alias("_len2"), grams(pieces, step).alias("_b"))
+    both = F.col("_len") + F.col("_len2")
+    fits = (10 * (both - 2 * F.least("_len", "_len2")) <= both) & (10 * F.abs(F.col("_a.at") - F.col("_b.at")) <= both)
+    met = one.join(other, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_a.text") == F.col("_b.text")) & fits).select("_by", "_id", "_id2").distinct()
+    left = singles.select(by, "signature", "pages", F.xxhash64("signature").alias("_id"))
+    right = seeds.select(F.col(by).alias("_by2"), F.col("signature").alias("seed"), F.col("pages").alias("_n"), F.xxhash64("signature").alias("_id2"))
+    met = met.join(left, ["_id"]).where(F.col("_by").eqNullSafe(F.col(by))).join(right, ["_id2"]).where(F.col("_by").eqNullSafe(F.col("_by2")))
+    met = met.where(10 * F.levenshtein("seed", "signature") <= F.length("seed") + F.length("signature")).select(by, "signature", "pages", "seed", "_n")
     found = met.where(_ratio("seed", "signature") >= least)
     first = F.min(F.struct((-F.col("_n")).alias("n"), F.col("seed").alias("seed")))
     return found.groupBy(by, "signature", "pages").agg(first.alias("_first")).select(by, "signature", F.col("_first.seed").alias("seed"), "pages")
