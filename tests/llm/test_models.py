@@ -49,14 +49,66 @@ def expected_scores(rows):
     return Counter(out)
 
 
-def test_scores(docs, odd, words, monkeypatch):
-    monkeypatch.setattr(ngram_lm, "BLOCK_BYTES", 3_000)
+class Plain:
+    """The model by dictionaries, from its definition."""
+
+    def __init__(self, rows):
+        texts = [[b" ", *(t or "").encode().lower().split(), b" "] for k, t, *_ in rows if k is None or zlib.crc32(str(k).encode()) % 10]
+        self.one = Counter(w for t in texts for w in t[1:])
+        self.n = sum(self.one.values())
+        grams = [Counter(g for t in texts for g in zip(*(t[i:] for i in range(k)), strict=False)) for k in (2, 3)]
+        self.two, self.three = ({g: n for g, n in c.items() if n >= 2} for c in grams)
+        n1, n2 = (sum(c == k for c in self.one.values()) for k in (1, 2))
+        self.discount = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+        self.after1, self.after2 = Counter(), Counter()
+        for (u, _), n in self.two.items():
+            self.after1[u] += (n - 0.75) / self.one[u]
+        for (u, v, _), n in self.three.items():
+            self.after2[u, v] += (n - 0.75) / self.two[u, v]
+
+    def p1(self, w):
+        c = self.one[w]
+        return (c - self.discount if c else self.discount * len(self.one)) / self.n
+
+    def p2(self, v, w):
+        share = (self.two[v, w] - 0.75) / self.one[v] if (v, w) in self.two else 0
+        return share + max(1 - self.after1[v], 1e-6) * self.p1(w)
+
+    def p3(self, u, v, w):
+        share = (self.three[u, v, w] - 0.75) / self.two[u, v] if (u, v, w) in self.three else 0
+        return share + max(1 - self.after2[u, v], 1e-6) * self.p2(v, w)
+
+    def score(self, text):
+        t = [b" ", *(text or "").encode().lower().split(), b" "]
+        return sum(math.log10(self.p3(t[i - 2], t[i - 1], t[i]) if i > 1 else self.p2(t[0], t[1])) for i in range(1, len(t)))
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_scores(docs, odd, words, monkeypatch, small):
+    if small:  # many blocks, shards and pieces
+        for name, value in {"BLOCK_BYTES": 3_000, "PIECE_BYTES": 700, "SHARD_WORDS": 900, "SHARD_TOKENS": 4_000, "_PACK_TOKENS": 300}.items():
+            monkeypatch.setattr(ngram_lm, name, value)
     rows = [*odd, *[(100 + i, " ".join(words(i % 7, 60 + i)), "en", "a") for i in range(80)]]
     found = ngram_lm.score(docs(rows)).collect()
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in found) == expected_scores(rows)
     seen = [r for r in found if r.doc_id is not None and r.doc_id >= 100 and r.held_out]
     assert seen and sum(r.score for r in seen) > sum(r.base_score for r in seen)
-    assert all(r.score <= 1e-9 for r in found)
+    model = Plain(rows)
+    mine, plain = (sorted(x, key=lambda r: (r[0] is None, r[0] or 0, r[1])) for x in ([(r.doc_id, r.score, r.n_tokens) for r in found], [(k, model.score(t), 0) for k, t, *_ in rows]))
+    for (k, got, n), (_, wanted, _) in zip(mine, plain, strict=True):
+        assert abs(got - wanted) <= 0.01 * n + 1e-6, k  # what quantisation may add
+    assert abs(sum(x[1] for x in mine) - sum(x[1] for x in plain)) < 0.002 * abs(sum(x[1] for x in plain))
+
+
+def test_scores_are_exact_with_few_values(docs, words):
+    rows = [(i, " ".join(words(i % 5, 40, 12)), "en", "a") for i in range(60)]
+    model = Plain(rows)
+    found = {r.doc_id: r.score for r in ngram_lm.score(docs(rows)).collect()}
+    for k, t, *_ in rows:
+        assert abs(found[k] - model.score(t)) < 1e-4
+    kinds = [*model.one, b"unseen"]
+    for u, v in [(kinds[0], kinds[1]), (b" ", kinds[2]), (kinds[3], kinds[3])]:
+        assert abs(sum(model.p3(u, v, w) for w in kinds) - 1) < 1e-9
 
 
 def test_scores_without_training(docs):
@@ -66,27 +118,6 @@ def test_scores_without_training(docs):
     assert row.held_out and row.train_tokens == 0 and row.score == 0.0
 
 
-def test_probabilities_sum_to_one(docs, words):
-    """All words after a context, and the unseen event, have mass one but for
-    quantisation."""
-    rows = [(i, " ".join(words(1, 50, 8)), "en", "a") for i in range(1, 30)]
-    counts = Counter(w for k, t, *_ in rows if zlib.crc32(str(k).encode()) % 10 for w in [*t.encode().split(), b" "])
-    kinds = sorted(counts, key=lambda w: (-counts[w], w))
-    n1, n2 = (sum(c == k for c in counts.values()) for k in (1, 2))
-    unigrams = ngram_lm.Unigrams(sum(counts.values()), len(counts), n1 / (n1 + 2 * n2) if n1 and n2 else 0.5)
-    c = np.array([counts[w] for w in kinds], np.int64)
-    trie = ngram_lm.Trie(mapped(ngram_lm._build(docs(rows), "text", "doc_id", unigrams, [ngram_lm._hash(w) for w in kinds], c)))
-    single = np.r_[unigrams.log(c), unigrams.log(np.zeros(1))]
-    assert abs((10**single).sum() - 1) < 1e-6
-    numbers = np.r_[np.arange(len(kinds)), -1]
-    for first in range(2):
-        for second in range(3):
-            led = np.concatenate([[first, second, w] for w in numbers])
-            alone = np.concatenate([[single[first], single[second], s] for s in single])
-            got = ngram_lm._scored(trie, unigrams, led, alone, np.arange(0, len(led), 3))[2::3]
-            assert abs((10**got).sum() - 1) < 0.05
-
-
 def language(seed, letters, n):
     r = random.Random(seed)
     return " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 6))) for _ in range(n))
