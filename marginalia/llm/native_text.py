@@ -30,3 +30,8 @@ def letter_words(text: Column) -> Column:
     has none."""
     parts = F.split(lower_ascii(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     return F.array_remove(parts, "")
+
+
+def text_hash(text: Column) -> Column:
+    """A 64-bit hash of a whole text; a null is not the empty text."""
+    return F.when(text.isNull(), F.lit(0)).otherwise(F.xxhash64(text))

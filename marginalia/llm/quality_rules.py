@@ -2,9 +2,11 @@
 
 Every document that passes two base rules becomes a vector of transformed
 statistics.  Per language and source a minimum-covariance-determinant estimate
-is fitted by concentration steps: mean and covariance of a subset, squared
-Mahalanobis distances of all rows, the closest :data:`COVER` share of the rows
-as the next subset.  Rows beyond :data:`CUTOFF` are rejected.
+is fitted from three starts by concentration steps: mean and covariance of a
+subset, squared Mahalanobis distances of all rows, the closest :data:`COVER`
+share of the rows as the next subset, until no determinant falls; the least one
+is taken.  A source leans on its language and a language on the whole, the more
+the fewer rows it has.  Rows beyond :data:`CUTOFF` are rejected.
 
 Each step needs two small aggregations over numbers, pre-aggregated before
 their shuffle: sums and products per group, and a histogram of distances per
@@ -15,19 +17,23 @@ order in which partitions arrive.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginalia.llm.native_text import SPACE, space_words
+from marginalia.llm.native_text import SPACE, space_words, text_hash
 from marginalia.llm.storage import free_name, materialize
 
 #: Share of a group's rows that the estimate rests on.
 COVER = 0.6
-#: Concentration steps after the start from medians and deviations.
-STEPS = 5
-#: Rows that a language and source need for estimates of their own; smaller
-#: ones are pooled per language, and if that is too little, over all.
-MIN_GROUP = 100
+#: Concentration steps at most; a few reach a fixed point.
+MAX_STEPS = 20
+#: Rows at which a group's estimate counts as much as that one level up; its
+#: weight is n**2 / (n**2 + PRIOR_ROWS**2), so a few rows, which can't outvote an
+#: outlier among them, count for next to nothing.
+PRIOR_ROWS = 100
 #: Squared distance beyond which a row is rejected: the chi-square quantile of
 #: five degrees of freedom at 1 - 1.5e-7.
 CUTOFF = 40.0
@@ -61,6 +67,7 @@ def statistics(docs: DataFrame, *, text: str = "text", key: str = "doc_id", lang
         F.col(lang).alias("lang"),
         F.col(source).alias("source"),
         F.col(text).alias("text"),
+        text_hash(F.col(text)).alias("th"),
         space_words(F.col(text)).alias("w"),
         F.filter(F.split(body, "\n"), lambda line: F.length(F.btrim(line, F.lit(SPACE))) > 0).alias("lines"),
     )
@@ -68,6 +75,7 @@ def statistics(docs: DataFrame, *, text: str = "text", key: str = "doc_id", lang
         "key",
         "lang",
         "source",
+        "th",
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
@@ -98,7 +106,7 @@ def statistics(docs: DataFrame, *, text: str = "text", key: str = "doc_id", lang
         lambda a: a.n,
     )
     return again.select(
-        "key", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.alias("n_repeat_words"), "n_upper", "n_lines"
+        "key", "lang", "source", "th", "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.alias("n_repeat_words"), "n_upper", "n_lines"
     )
 
 
@@ -107,22 +115,15 @@ def _base_failed() -> Column:
 
 
 def _grouped(stats: DataFrame) -> DataFrame:
-    """``g, x0..`` of rows that pass the base rules: the pooled group and the
-    statistics in 1/10000."""
-    rows = stats.where(~_base_failed()).select(
-        "key", "lang", "source", *[F.expr(f"cast(round({e} * {_UNIT}) as bigint)").alias(f"x{i}") for i, (_, e, _) in enumerate(STATISTICS)]
-    )
-    sizes = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    small = F.sum(F.when(F.col("n") < MIN_GROUP, F.col("n")).otherwise(0)).over(Window.partitionBy("lang"))
-    named = sizes.withColumn("rest", small).select(
-        F.col("lang").alias("l"),
-        F.col("source").alias("s"),
-        F.when(F.col("n") >= MIN_GROUP, F.to_json(F.struct("lang", "source")))
-        .when(F.col("rest") >= MIN_GROUP, F.to_json(F.struct("lang")))
-        .otherwise(F.lit("all"))
-        .alias("g"),
+    """``key, g, x0..`` of rows that pass the base rules: the row's source,
+    language and whole as groups, and the statistics in 1/10000."""
+    return stats.where(~_base_failed()).select(
+        "key",
+        F.array(
+            F.concat(F.lit("source "), F.to_json(F.struct("lang", "source"))), F.concat(F.lit("lang "), F.to_json(F.struct("lang"))), F.lit("all")
+        ).alias("g"),
+        *[F.expr(f"cast(round({e} * {_UNIT}) as bigint)").alias(f"x{i}") for i, (_, e, _) in enumerate(STATISTICS)],
     )
-    return rows.join(named, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))).select("key", "g", *_X)
 
 
 def _quantile(values: DataFrame, share: float, *by: str) -> DataFrame:
@@ -133,55 +134,73 @@ def _quantile(values: DataFrame, share: float, *by: str) -> DataFrame:
     return upto.where(F.col("upto") >= F.ceil(F.col("total") * share)).groupBy(*by).agg(F.min("bin").alias("q"))
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Estimates from medians and median deviations, as if uncorrelated.
-    Values are binned by 1/1000; shares and logarithms need a few thousand
-    bins at most."""
-    # one row for each group, statistic and bin, whatever the input's size
-    long = rows.select("g", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.round(F.col(x) / 10).cast("long").alias("bin")) for i, x in enumerate(_X)])).alias("e"))
+def _starts(rows: DataFrame) -> DataFrame:
+    """``g, start, n, m0.., c0_0..``: three first estimates of each group: the
+    mean and covariance of all rows; medians with median deviations, as if
+    uncorrelated; and these with the correlations of signs about the medians.
+
+    Medians are read from bins of 1/100; the statistics are logarithms and
+    shares, so a group has a few thousand bins whatever its size."""
+    long = rows.select("g", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.round(F.col(x) / 100).cast("long").alias("bin")) for i, x in enumerate(_X)])).alias("e"))
     bins = materialize(long.select("g", "e.i", "e.bin").groupBy("g", "i", "bin").agg(F.count("*").alias("n")), "bins")
     centre = _quantile(bins, 0.5, "g", "i").withColumnRenamed("q", "m")
     spread = _quantile(bins.join(centre, ["g", "i"]).select("g", "i", F.abs(F.col("bin") - F.col("m")).alias("bin"), "n"), 0.5, "g", "i")
-    both = centre.join(spread, ["g", "i"])
-    wide = both.groupBy("g").agg(
-        *[F.max(F.when(F.col("i") == i, F.col("m") / 1000)).alias(f"m{i}") for i in range(_P)],
-        *[F.max(F.when(F.col("i") == i, F.pow(F.col("q") * 1.4826 / 1000, 2))).alias(f"c{i}_{i}") for i in range(_P)],
+    wide = centre.join(spread, ["g", "i"]).groupBy("g").agg(
+        *[F.max(F.when(F.col("i") == i, F.col("m") / 100)).alias(f"m{i}") for i in range(_P)],
+        *[F.max(F.when(F.col("i") == i, F.col("q") * 1.4826 / 100)).alias(f"d{i}") for i in range(_P)],
     )
-    return wide.select("g", *[f"m{i}" for i in range(_P)], *[(F.col(f"c{i}_{j}") if i == j else F.lit(0.0)).alias(f"c{i}_{j}") for i, j in _PAIRS])
+    wide = materialize(wide, "medians")
+    away = lambda i: F.signum(F.col(f"x{i}") - F.col(f"m{i}") * _UNIT)
+    signs = rows.join(wide, "g").groupBy("g").agg(F.count("*").alias("n"), *[F.avg((away(i) * away(j)).cast("double")).alias(f"q{i}_{j}") for i, j in _PAIRS if i != j])
+    both = wide.join(signs, "g")
 
+    def from_medians(name: str, correlated: bool) -> DataFrame:
+        def entry(i: int, j: int) -> Column:
+            if i == j:
+                return F.pow(f"d{i}", F.lit(2))
+            return F.sin(F.col(f"q{i}_{j}") * (math.pi / 2)) * F.col(f"d{i}") * F.col(f"d{j}") if correlated else F.lit(0.0)
 
-def _moments(rows: DataFrame) -> DataFrame:
-    """Mean and covariance per group from exact integer sums."""
+        return both.select("g", F.lit(name).alias("start"), "n", *[f"m{i}" for i in range(_P)], *[entry(i, j).alias(f"c{i}_{j}") for i, j in _PAIRS])
+
+    whole = _moments(rows, "g").withColumn("start", F.lit("all"))
+    return from_medians("medians", False).unionByName(from_medians("signs", True)).unionByName(whole)
+
+
+def _moments(rows: DataFrame, *by: str) -> DataFrame:
+    """``by, n``, mean and covariance from exact integer sums."""
     total = lambda e: F.sum(F.expr(e).cast("decimal(28,0)")).cast("double")
-    sums = rows.groupBy("g").agg(
+    sums = rows.groupBy(*by).agg(
         F.count("*").alias("n"),
         *[total(x).alias(f"s{i}") for i, x in enumerate(_X)],
         *[total(f"x{i} * x{j}").alias(f"s{i}_{j}") for i, j in _PAIRS],
     )
     return sums.select(
-        "g",
+        *by,
+        "n",
         *[F.expr(f"s{i} / n / {_UNIT}").alias(f"m{i}") for i in range(_P)],
         *[F.expr(f"{CONSISTENCY} * (s{i}_{j} / n - (s{i} / n) * (s{j} / n)) / {_UNIT * _UNIT}").alias(f"c{i}_{j}") for i, j in _PAIRS],
     )
 
 
 def _factored(estimates: DataFrame) -> DataFrame:
-    """``g, m, f``: means and the inverse Cholesky factor of each covariance,
-    with the square of the least deviation added to its diagonal."""
+    """``estimates`` with the inverse Cholesky factor ``f`` of each covariance
+    and the logarithm ``det`` of its determinant, with the square of the least
+    deviation added to its diagonal."""
     out = estimates
     for i in range(_P):
-        out = out.withColumn(f"c{i}_{i}", F.greatest(F.col(f"c{i}_{i}"), F.lit(0.0)) + STATISTICS[i][2] ** 2)
+        out = out.withColumn(f"v{i}", F.greatest(F.col(f"c{i}_{i}"), F.lit(0.0)) + STATISTICS[i][2] ** 2)
     for i in range(_P):  # the factor l
         for j in range(i + 1):
             inner = " ".join(f"- l{i}_{k} * l{j}_{k}" for k in range(j))
-            value = f"c{i}_{j} {inner}"
+            value = f"{f'v{i}' if i == j else f'c{i}_{j}'} {inner}"
             least = STATISTICS[i][2] ** 2 / 4
             out = out.withColumn(f"l{i}_{j}", F.expr(f"sqrt(greatest({value}, {least}))" if i == j else f"({value}) / l{j}_{j}"))
     for i in range(_P):  # its inverse f
         for j in range(i + 1):
             inner = " ".join(f"- l{i}_{k} * f{k}_{j}" for k in range(j, i))
             out = out.withColumn(f"f{i}_{j}", F.expr(f"1 / l{i}_{i}" if i == j else f"(0 {inner}) / l{i}_{i}"))
-    return out.select(F.col("g").alias("eg"), *[f"m{i}" for i in range(_P)], *[f"f{i}_{j}" for i, j in _PAIRS])
+    det = F.expr(" + ".join(f"2 * ln(l{i}_{i})" for i in range(_P)))
+    return out.withColumn("det", det).select(*estimates.columns, *[f"f{i}_{j}" for i, j in _PAIRS], "det")
 
 
 def _distance() -> Column:
@@ -192,38 +211,71 @@ def _distance() -> Column:
     return F.expr(" + ".join(parts))
 
 
-def estimates(rows: DataFrame) -> DataFrame:
-    """Minimum-covariance-determinant estimates per group of ``g, x0..``."""
-    fitted = materialize(_factored(_start(rows)), "estimates")
-    # 1/16 octaves of the distance; a few hundred bins
-    octave = lambda d: F.round(F.log2(d + 1e-6) * 16).cast("long")
-    for _ in range(STEPS):
-        placed = rows.join(fitted, F.col("g") == F.col("eg")).select("g", *_X, octave(_distance()).alias("bin"))
-        near = _quantile(placed.groupBy("g", "bin").agg(F.count("*").alias("n")), COVER, "g")
-        near = materialize(near.select(F.col("g").alias("ng"), "q"), "near")
-        inside = placed.join(near, F.col("g") == F.col("ng")).where("bin <= q")
-        fitted = materialize(_factored(_moments(inside)), "estimates")
-    return fitted
+def _octave(distance: Column) -> Column:
+    """1/16 octaves of the distance between 1e-6 and 1e12: under 1,000 bins."""
+    return F.round(F.log2(F.least(distance, F.lit(1e12)) + 1e-6) * 16).cast("long")
 
 
-def judged(docs: DataFrame, **options) -> DataFrame:
-    """``key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept, distance``: one row per input row.
+def least_determinants(rows: DataFrame) -> DataFrame:
+    """``g, start, n, m0.., c0_0.., det``: the minimum-covariance-determinant
+    estimate of each group of ``g, x0..``.
 
-    ``kept`` is false for rows that fail a base rule (fewer than 50 words, or
-    over half of the words in repeated three-word windows) and for rows whose
-    squared robust distance exceeds :data:`CUTOFF`.  Null texts have no words
-    and fail; null languages and sources are groups like any other; null keys
-    and repeated rows are judged as they come; an empty table gives none.
-    """
-    key = options.get("key", "doc_id")
-    stats = materialize(statistics(docs, **options).withColumn("row", F.monotonically_increasing_id()), "statistics")
+    Three starts are concentrated until no determinant of any group falls any
+    more (each step takes the closest :data:`COVER` of the rows, whole bins of
+    distance); of a group's results that of least determinant is taken."""
+    fitted = materialize(_factored(_starts(rows)), "estimates")
+    for number in range(MAX_STEPS):
+        model = fitted.withColumnRenamed("g", "eg").drop("n")
+        placed = rows.join(model, F.col("g") == F.col("eg")).select("g", "start", *_X, _octave(_distance()).alias("bin"))
+        near = _quantile(placed.groupBy("g", "start", "bin").agg(F.count("*").alias("n")), COVER, "g", "start")
+        near = materialize(near.select(F.col("g").alias("ng"), F.col("start").alias("ns"), "q"), "near")
+        inside = placed.join(near, (F.col("g") == F.col("ng")) & (F.col("start") == F.col("ns"))).where("bin <= q")
+        last = fitted.select(F.col("g").alias("lg"), F.col("start").alias("ls"), F.col("det").alias("was"))
+        step = _factored(_moments(inside, "g", "start"))
+        fitted = materialize(step.join(last, (F.col("g") == F.col("lg")) & (F.col("start") == F.col("ls"))).drop("lg", "ls"), "estimates")
+        fell = fitted.where(F.col("det") < F.col("was") - 1e-6).limit(1)
+        fitted = fitted.drop("was")
+        if number and fell.isEmpty():  # the first step only leaves the starts
+            break
+    columns = [c for c in fitted.columns if c not in ("g", "det")]
+    best = fitted.groupBy("g").agg(F.min_by(F.struct(*columns), F.struct("det", "start")).alias("b"), F.min("det").alias("det"))
+    return materialize(best.select("g", "b.*", "det"), "least")
+
+
+def estimates(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``eg, m0.., f0_0..`` of each source: its own estimate mixed with that of
+    its language, and that with the whole's, by :data:`PRIOR_ROWS`.  There is no
+    size at which the rule changes.
+
+    ``rows(g, x0..)`` of all groups, ``sizes(source, lang, n, lang_n)``."""
+    fitted = least_determinants(rows)
+    numbers = [f"m{i}" for i in range(_P)] + [f"c{i}_{j}" for i, j in _PAIRS]
+    named = lambda x: fitted.select(F.col("g").alias(f"{x}g"), *[F.col(c).alias(f"{x}_{c}") for c in numbers])
+    every = sizes.withColumn("all", F.lit("all")).join(named("s"), F.col("source") == F.col("sg"))
+    every = every.join(named("l"), F.col("lang") == F.col("lg")).join(named("a"), F.col("all") == F.col("ag"))
+    share = lambda n: F.pow(n, F.lit(2.0)) / (F.pow(n, F.lit(2.0)) + PRIOR_ROWS**2)
+    mixed = lambda own, n, prior: own * share(n) + prior * (1 - share(n))
+    language = {c: mixed(F.col(f"l_{c}"), F.col("lang_n"), F.col(f"a_{c}")) for c in numbers}
+    final = every.select(F.col("source").alias("eg"), *[mixed(F.col(f"s_{c}"), F.col("n"), language[c]).alias(c) for c in numbers])
+    return materialize(_factored(final).drop("det", *[f"c{i}_{j}" for i, j in _PAIRS]), "estimates")
+
+
+def _judged(docs: DataFrame, *, text: str = "text", key: str = "doc_id", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The columns of :func:`judged`, with language, source and a hash of the
+    text."""
+    stats = statistics(docs, text=text, key=key, lang=lang, source=source)
+    stats = materialize(stats.withColumn("row", F.monotonically_increasing_id()), "statistics")
     rows = materialize(_grouped(stats.withColumn("key", F.col("row"))), "rows")
-    fitted = estimates(rows)
-    measured = rows.join(fitted, F.col("g") == F.col("eg")).select(F.col("key").alias("r"), _distance().alias("distance"))
+    sizes = rows.groupBy(F.col("g")[0].alias("source"), F.col("g")[1].alias("lang")).agg(F.count("*").alias("n"))
+    sizes = sizes.withColumn("lang_n", F.sum("n").over(Window.partitionBy("lang")))
+    fitted = estimates(rows.select(F.explode("g").alias("g"), *_X), sizes)
+    measured = rows.join(fitted, F.col("g")[0] == F.col("eg")).select(F.col("key").alias("r"), _distance().alias("distance"))
     out = stats.join(measured, F.col("row") == F.col("r"), "left")
     return out.select(
-        F.col("key").alias(key),
+        "key",
+        "lang",
+        "source",
+        "th",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -235,10 +287,27 @@ def judged(docs: DataFrame, **options) -> DataFrame:
     )
 
 
-def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the rules keep; rows that repeat a key are
-    judged together and go if any of them is rejected."""
-    key = options.get("key", "doc_id")
-    name = free_name(docs, "bad")
-    bad = judged(docs, **options).where("not kept").select(F.col(key).alias(name)).distinct()
-    return docs.join(bad, F.col(key).eqNullSafe(F.col(name)), "left_anti")
+def judged(docs: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
+    """``key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed, kept, distance``: one row per input row.
+
+    ``kept`` is false for rows that fail a base rule (fewer than 50 words, or
+    over half of the words in repeated three-word windows) and for rows whose
+    squared robust distance exceeds :data:`CUTOFF`.  Null texts have no words
+    and fail; null languages and sources are groups like any other; null keys
+    and repeated rows are judged as they come, rows of equal statistics alike;
+    very long texts are counted whole; other columns are never read; an empty
+    table gives no rows.
+    """
+    return _judged(docs, key=key, **options).drop("lang", "source", "th").withColumnRenamed("key", key)
+
+
+def keep_good(docs: DataFrame, *, text: str = "text", key: str = "doc_id", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, each by its own text, language
+    and source, whatever other rows have its key."""
+    names = [free_name(docs, c) for c in ("bad_key", "bad_lang", "bad_source", "bad_text")]
+    bad = _judged(docs, text=text, key=key, lang=lang, source=source).where("not kept")
+    bad = bad.select(*[F.col(c).alias(n) for c, n in zip(("key", "lang", "source", "th"), names, strict=True)]).distinct()
+    own = (F.col(key), F.col(lang), F.col(source), text_hash(F.col(text)))
+    same = reduce(Column.__and__, [c.eqNullSafe(F.col(n)) for c, n in zip(own, names, strict=True)])
+    return docs.join(bad, same, "left_anti")
