@@ -22,8 +22,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Entries of one cache generation; two generations are held.
-CACHE_ENTRIES = 400_000
+#: Entries of one cache generation; two generations are held.  Longer keys are
+#: not held, so a generation has a bound in bytes.
+CACHE_ENTRIES, CACHE_CHARS = 400_000, 64
 #: Stands for a piece that can't be counted without the piece before it.
 _GLUED = 1 << 50
 
@@ -36,6 +37,8 @@ class _Cache(dict):
         self.compute, self.entries, self.old = compute, entries, {}
 
     def __missing__(self, key):
+        if len(key) > CACHE_CHARS:
+            return self.compute(key)
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
@@ -144,8 +147,9 @@ def count_tokens(docs: DataFrame, path: str, *, text: str = "text", key: str = "
     """Bytes and tokens of every whole text.
 
     Returns ``key, n_bytes, n_tokens, over_limit``, one row per input row.
-    Null and empty texts have no bytes and no tokens; null keys and repeated
-    rows are returned as they come; other columns are never read.
+    Null and empty texts have no bytes and no tokens; very long texts are
+    counted whole; null keys, ties and repeated rows are returned as they come;
+    other columns are never read; an empty table gives no rows.
     ``path`` names a byte-level BPE file that every executor can open.
     """
 
