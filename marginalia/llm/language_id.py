@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.llm.native_text import text_hash
 from marginalia.llm.storage import free_name
 
 DIMENSIONS = 1024
@@ -27,8 +28,11 @@ UNDETERMINED = "und"
 #: Cosine below which a document is in none of the learned languages; unrelated
 #: profiles are within 0.03 of zero in nearly all cases.
 MIN_SCORE = 0.05
-#: N-gram vectors held by a worker, one byte a dimension.
-CACHE_NGRAMS = 40_000
+#: N-gram and letter vectors held by a worker, one byte a dimension, and
+#: n-grams multiplied at a time.
+CACHE_NGRAMS, CACHE_LETTERS, _BLOCK_NGRAMS = 40_000, 20_000, 8_192
+#: Languages that a model may have; one has :data:`DIMENSIONS` numbers.
+MAX_LANGUAGES = 1_000
 _BLOCK_DOCS = 64
 _BLOCK_CHARS = 2_000_000
 
@@ -48,6 +52,8 @@ class _Space:
 
     def letter_vector(self, code: int) -> np.ndarray:
         if code not in self.letters:
+            if len(self.letters) >= CACHE_LETTERS:
+                self.letters.clear()
             bits = np.random.Generator(np.random.Philox(key=7_919 + code)).integers(0, 2, DIMENSIONS, np.int8)
             self.letters[code] = 2 * bits - 1
         return self.letters[code]
@@ -112,8 +118,19 @@ def _space() -> _Space:
     return _spaces[0]
 
 
-def _counts(owner: np.ndarray, place: np.ndarray, rows: int, columns: int) -> np.ndarray:
-    return np.bincount(owner * columns + place, minlength=rows * columns).reshape(rows, columns).astype(np.float32)
+def bundled(space: _Space, grams: np.ndarray, owner: np.ndarray, place: np.ndarray, rows: int) -> np.ndarray:
+    """The sum of each owner's n-gram vectors, some n-grams at a time."""
+    total = np.zeros((rows, DIMENSIONS), np.int64)
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    for at in range(0, len(grams), _BLOCK_NGRAMS):
+        part = grams[at : at + _BLOCK_NGRAMS]
+        a, z = np.searchsorted(place, (at, at + len(part)))
+        counts = np.bincount(owner[a:z] * len(part) + place[a:z] - at, minlength=rows * len(part)).reshape(rows, len(part))
+        # whole numbers below 2**24 are exact in single precision
+        exact = np.float32 if z - a < 1 << 24 else np.float64
+        total += (counts.astype(exact) @ space.ngram_vectors(part).astype(exact)).astype(np.int64)
+    return total
 
 
 def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -144,18 +161,16 @@ def fit(docs: DataFrame, *, text: str = "text", key: str = "doc_id", lang: str =
             number = np.array([names.index(x) for x in langs], np.int64)
             for a, z in _blocks(texts):
                 grams, owner, place = space.profile(texts[a:z])
-                counts = _counts(number[a:z][owner], place, len(names), len(grams))
-                for name, row in zip(names, counts, strict=True):
-                    at = np.flatnonzero(row)
-                    if len(at):
-                        # whole numbers below 2**24 are exact in single precision
-                        sums[name] = sums.get(name, 0) + (row[at].astype(np.float64) @ space.ngram_vectors(grams[at]).astype(np.float64)).astype(np.int64)
+                for name, row in zip(names, bundled(space, grams, number[a:z][owner], place, len(names)), strict=True):
+                    sums[name] = sums.get(name, 0) + row
         for name, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * DIMENSIONS), pa.array(range(DIMENSIONS), pa.int32()), pa.array(total)], ["lang", "place", "total"])
 
     known = docs.where(F.col(lang).isNotNull() & ~held_out(F.col(key))).select(text, F.col(lang).alias("lang"))
     sums = known.mapInArrow(run, "lang string, place int, total bigint").groupBy("lang", "place").agg(F.sum("total").alias("total"))
-    rows = sums.collect()  # DIMENSIONS numbers a language
+    rows = sums.limit(DIMENSIONS * MAX_LANGUAGES + 1).collect()  # DIMENSIONS numbers a language
+    if len(rows) > DIMENSIONS * MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     langs = sorted({r["lang"] for r in rows})
     out = np.zeros((len(langs), DIMENSIONS))
     place = {x: i for i, x in enumerate(langs)}
@@ -180,8 +195,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text: str =
                 grams, owner, place = space.profile(texts[a:z])
                 if not len(grams):
                     continue
-                total = _counts(owner, place, z - a, len(grams)) @ space.ngram_vectors(grams).astype(np.float32)
-                cosine = total @ units.T.astype(np.float32) / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
+                total = bundled(space, grams, owner, place, z - a).astype(np.float64)
+                cosine = total @ units.T / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
                 has = np.bincount(owner, minlength=z - a) > 0
                 best[a:z] = np.where(has, cosine.argmax(axis=1), len(langs))
                 score[a:z] = np.where(has, np.clip(cosine.max(axis=1), 0, 1), 0)
@@ -199,16 +214,19 @@ def identify(docs: DataFrame, *, text: str = "text", key: str = "doc_id", lang:
 
     Null texts and texts without a letter are ``und`` with score 0; an equal
     cosine goes to the language first in order; null languages teach nothing;
-    null keys and repeated rows are predicted as they come; an empty table
-    gives no rows.
+    null keys and repeated rows are predicted as they come; very long texts are
+    read whole, some n-grams at a time; other columns are never read; an empty
+    table gives no rows.
     """
     return predict(docs, fit(docs, text=text, key=key, lang=lang), text=text, key=key)
 
 
 def keep_known(docs: DataFrame, *, min_score: float = MIN_SCORE, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose language is found with at least ``min_score``;
-    rows that repeat a key go if any of them is rejected."""
-    name = free_name(docs, "bad")
-    found = identify(docs, text=text, key=key, lang=lang)
-    bad = found.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < min_score)).select(F.col(key).alias(name)).distinct()
-    return docs.join(bad, F.col(key).eqNullSafe(F.col(name)), "left_anti")
+    """The rows of ``docs`` whose language is found with at least ``min_score``,
+    each by its own text, whatever other rows have its key."""
+    row, name, other = free_name(docs, "row"), free_name(docs, "bad_key"), free_name(docs, "bad_text")
+    marked = docs.select(F.struct(F.col(key).alias("key"), text_hash(F.col(text)).alias("text")).alias(row), text)
+    found = predict(marked, fit(docs, text=text, key=key, lang=lang), text=text, key=row)
+    rejected = found.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < min_score))
+    bad = rejected.select(F.col(f"{row}.key").alias(name), F.col(f"{row}.text").alias(other)).distinct()
+    return docs.join(bad, F.col(key).eqNullSafe(F.col(name)) & (text_hash(F.col(text)) == F.col(other)), "left_anti")
