@@ -62,6 +62,9 @@ TEMPLATES = [
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _MIX = np.random.Generator(np.random.Philox(key=11)).integers(1, 1 << 63, BANDS + SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
 _CACHE_WORDS = 500_000
+#: Words scanned at a time; longer texts are cut and the cuts overlap by the
+#: widest window.
+SEGMENT_WORDS = 1 << 16
 
 
 def words(text: str | None) -> list[bytes]:
@@ -106,7 +109,10 @@ def _shingles(hashes: np.ndarray) -> np.ndarray:
 
 def _minima(shingles: np.ndarray) -> np.ndarray:
     """Values of each shingle under each permutation, bands first."""
-    return ((shingles[None, :] * _MIX[:BANDS, None]) >> np.uint64(32)).astype(np.uint32)
+    out = np.empty((BANDS, len(shingles)), np.uint32)
+    for at in range(0, len(shingles), 8192):
+        out[:, at : at + 8192] = (shingles[None, at : at + 8192] * _MIX[:BANDS, None]) >> np.uint64(32)
+    return out
 
 
 @dataclass
@@ -165,13 +171,40 @@ class Index:
     def scan(self, texts: list[list[bytes]]) -> list[list[tuple[str, int, int, float]]]:
         """Per text the matches (name, first word, words, containment), the
         best one of each run of overlapping windows and name."""
+        overlap = 4 * max(self.blocks, default=0) + SHINGLE
+        found: dict[tuple[int, str], set[tuple[int, int, float]]] = {}
+        pieces: list[tuple[int, int, list[bytes]]] = []  # text, first word, words
+        held = 0
+        for i, text in enumerate(texts):
+            for at in range(0, max(len(text), 1), SEGMENT_WORDS):
+                piece = text[at : at + SEGMENT_WORDS + overlap]
+                if held + len(piece) > 2 * SEGMENT_WORDS:
+                    self._scan(pieces, found)
+                    pieces, held = [], 0
+                pieces.append((i, at, piece))
+                held += len(piece)
+        self._scan(pieces, found)
         out: list[list[tuple[str, int, int, float]]] = [[] for _ in texts]
+        for (text, name), spans in found.items():
+            best, upto = None, -1
+            for a, n, share in sorted(spans):
+                if best is not None and a >= upto:
+                    out[text].append((name, *best))
+                    best = None
+                if best is None or share > best[2]:
+                    best = (a, n, share)
+                upto = max(upto, a + n)
+            out[text].append((name, *best))
+        return [sorted(x, key=lambda m: (m[1], m[0])) for x in out]
+
+    def _scan(self, pieces: list[tuple[int, int, list[bytes]]], found: dict[tuple[int, str], set[tuple[int, int, float]]]) -> None:
+        """Adds the matching windows of pieces of texts."""
+        texts = [words for _, _, words in pieces]
         starts = np.cumsum([0, *map(len, texts)])
         every = [w for t in texts for w in t]
         if len(every) < SHINGLE:
-            return out
-        # windows may reach over the end of a text; what counts is cut to it
-        found: dict[tuple[int, str], list[tuple[int, int, float]]] = {}
+            return
+        # windows may reach over the end of a piece; what counts is cut to it
         for first, width, template in self.candidates(_shingles(self.hashed(every))):
             owner = int(np.searchsorted(starts, first, "right")) - 1
             for text in range(owner, len(texts)):
@@ -181,19 +214,8 @@ class Index:
                 part = texts[text][a:z]
                 share = len(self.grams[template].intersection(zip(*(part[i:] for i in range(SHINGLE)), strict=False))) / len(self.grams[template])
                 if share >= CONTAINMENT:
-                    found.setdefault((text, self.names[template]), []).append((a, len(part), share))
-        for (text, name), spans in found.items():
-            spans.sort()
-            best, upto = None, -1
-            for a, n, share in spans:
-                if best is not None and a >= upto:
-                    out[text].append((name, *best))
-                    best = None
-                if best is None or share > best[2]:
-                    best = (a, n, share)
-                upto = max(upto, a + n)
-            out[text].append((name, *best))
-        return [sorted(x, key=lambda m: (m[1], m[0])) for x in out]
+                    owner_, first_word, _ = pieces[text]
+                    found.setdefault((owner_, self.names[template]), set()).add((first_word + a, len(part), share))
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, *, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -201,8 +223,10 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, *, tex
     n_words (of the window that holds it) and containment.
 
     Null and empty texts and texts of fewer than three words have no match;
-    null keys and repeated rows are scanned as they come; an empty table or no
-    templates give no matches.
+    null keys and repeated rows are scanned as they come; of overlapping windows
+    of one license the first of highest containment is the match; very long
+    texts are scanned whole, in overlapping pieces; other columns are never read;
+    an empty table gives no rows, no templates no matches.
     """
     templates = TEMPLATES if templates is None else templates
     match = pa.struct([("license", pa.string()), ("start_word", pa.int32()), ("n_words", pa.int32()), ("containment", pa.float64())])
