@@ -8,9 +8,9 @@ documents that is its rarest.  Document positions are joined to windows on
 this word, bounds on position and length drop what can't fit, and exact
 equality over the item-sized window decides.
 
-Windows are broadcast in blocks of :data:`BLOCK` rows, so the broadcast size
-is bounded whatever the benchmark's size; each block is one pass over the
-documents.
+Windows are broadcast in blocks of :data:`BLOCK` rows and
+:data:`BLOCK_BYTES` bytes at most, so the broadcast size is bounded whatever the
+benchmark's size; each block is one pass over the documents.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.native_text import letter_words
-from marginalia.llm.storage import materialize
+from marginalia.llm.native_text import letter_words, text_hash
+from marginalia.llm.storage import free_name, materialize
 
 WINDOW_WORDS = 10
-#: Windows of one broadcast block: some 150 bytes each, 15 MB at most.
-BLOCK = 100_000
+#: Windows of one broadcast block, and bytes of their texts.
+BLOCK, BLOCK_BYTES = 100_000, 15_000_000
 
 
 def windows(benchmark: DataFrame, *, text: str = "text", item: str = "item_id", words: int = WINDOW_WORDS) -> DataFrame:
@@ -55,7 +55,8 @@ def _blocks(docs: DataFrame, wins: DataFrame, text: str) -> list[DataFrame]:
         .select(F.xxhash64("win").alias("win_id"), "win", "len", F.col("r.word").alias("word"), F.col("r.off").alias("off"))
     )
     rarest = materialize(rarest, "windows")
-    parts = max(1, -(-rarest.count() // BLOCK))
+    size = rarest.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("win")), F.lit(0)).alias("b")).first()
+    parts = max(1, -(-size["n"] // BLOCK), -(-size["b"] // BLOCK_BYTES))
     if parts == 1:
         return [rarest]
     # hashed blocks vary a little; aim below the bound
@@ -63,7 +64,7 @@ def _blocks(docs: DataFrame, wins: DataFrame, text: str) -> list[DataFrame]:
     return [rarest.where(F.pmod("win_id", F.lit(parts)) == i) for i in range(parts)]
 
 
-def contamination(
+def _contamination(
     docs: DataFrame,
     benchmark: DataFrame,
     *,
@@ -73,18 +74,10 @@ def contamination(
     item_text: str = "text",
     words: int = WINDOW_WORDS,
 ) -> DataFrame:
-    """``key, n_words, n_hit, n_items, items_sha256, contaminated`` per row.
-
-    A document word inside any occurrence of a window is hit; ``n_items``
-    counts the items with an occurring window, and ``items_sha256`` is the
-    digest of their ids, sorted as strings and comma-joined.  Null texts have
-    no words and no hits, items without words no windows, null item ids no
-    place in the list.  Null keys and repeated rows are returned as they come;
-    an empty benchmark leaves every document clean.
-    """
+    """The columns of :func:`contamination`, with ``th``, a hash of the text."""
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     wins = materialize(windows(benchmark, text=item_text, item=item, words=words), "items")
-    cut = docs.select("key", F.xxhash64("text").alias("th"), letter_words(F.col("text")).alias("w"))
+    cut = docs.select("key", text_hash(F.col("text")).alias("th"), letter_words(F.col("text")).alias("w"))
     # place 0 stands for the document itself
     places = cut.select("key", "th", "w", F.posexplode(F.concat(F.array(F.lit("")), F.col("w"))).alias("pos", "word"))
     found = []
@@ -134,6 +127,7 @@ def contamination(
     listed = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
         F.col("a.key").alias(key),
+        F.col("a.th").alias("th"),
         "n_words",
         covered.alias("n_hit"),
         F.size(listed).cast("long").alias("n_items"),
@@ -141,3 +135,27 @@ def contamination(
         (F.size("spans") > 0).alias("contaminated"),
         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
     ).drop("copy")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
+    """``key, n_words, n_hit, n_items, items_sha256, contaminated`` per row.
+
+    A document word inside any occurrence of a window is hit; ``n_items``
+    counts the items with an occurring window, and ``items_sha256`` is the
+    digest of their ids, sorted as strings and comma-joined.  Null texts have
+    no words and no hits, items without words no windows, null item ids no
+    place in the list.  Null keys and repeated rows are returned as they come;
+    words of equal rarity stand in for a window by their order; very long texts
+    are read whole; other columns are never read; an empty benchmark leaves
+    every document clean, an empty table gives no rows.
+    """
+    return _contamination(docs, benchmark, key=key, **options).drop("th")
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` that hold no window of a benchmark item, each by its
+    own text, whatever other rows have its key."""
+    name, other = free_name(docs, "bad_key"), free_name(docs, "bad_text")
+    found = _contamination(docs, benchmark, text=text, key=key, **options).where("contaminated")
+    bad = found.select(F.col(key).alias(name), F.col("th").alias(other)).distinct()
+    return docs.join(bad, F.col(key).eqNullSafe(F.col(name)) & (text_hash(F.col(text)) == F.col(other)), "left_anti")
