@@ -17,7 +17,7 @@ key; every row is then scored from its whole text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -88,14 +88,19 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def best_bin(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The estimated share of positives among the unlabelled scores."""
-    if not len(positive) or not len(unlabelled):
+def cuts_of(positive: np.ndarray) -> np.ndarray:
+    """Score thresholds: percentiles of the positives."""
+    return np.quantile(positive, np.linspace(0.02, 0.98, 97))
+
+
+def best_bin(positive: np.ndarray, above: np.ndarray, total: int) -> float:
+    """The estimated share of positives among ``total`` unlabelled scores, of
+    which so many are ``above`` each of the positives' thresholds."""
+    if not len(positive) or not total:
         return 0.5
-    cuts = np.quantile(positive, np.linspace(0.02, 0.98, 97))
-    p = (positive[None, :] >= cuts[:, None]).mean(axis=1)
-    u = (unlabelled[None, :] >= cuts[:, None]).mean(axis=1)
-    slack = np.sqrt(np.log(20) / 2 / len(positive)) + np.sqrt(np.log(20) / 2 / len(unlabelled))
+    p = (positive[None, :] >= cuts_of(positive)[:, None]).mean(axis=1)
+    u = above / total
+    slack = np.sqrt(np.log(20) / 2 / len(positive)) + np.sqrt(np.log(20) / 2 / total)
     best = np.argmin((u + slack) / np.maximum(p, 1e-9))
     return float(np.clip(u[best] / p[best], 0.02, 0.98))
 
@@ -122,20 +127,35 @@ def _discriminate(p: np.ndarray, u: np.ndarray) -> np.ndarray:
     return _descend(p, np.concatenate([u, p]), 0.5)
 
 
-def fit_rows(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
-    """A model from two samples of :func:`features` rows."""
+#: Counts rows of :func:`features`: for each (weights, thresholds) how many of
+#: all texts score at least each threshold, and how many texts there are.
+Count = Callable[[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]], tuple[list[np.ndarray], int]]
+
+
+def above_of(rows: np.ndarray, mean: np.ndarray, scale: np.ndarray, asked: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """How many rows score at least each threshold."""
+    out = []
+    for weights, cuts in asked:
+        ordered = np.sort(((rows - mean) / scale) @ weights)
+        out.append(len(ordered) - np.searchsorted(ordered, cuts, "left"))
+    return out
+
+
+def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, count: Count | None = None) -> Model:
+    """A model from two samples of :func:`features` rows; the prior's shares
+    are counted over all texts by ``count``, else over the sample."""
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.5)
     both = np.concatenate([positive, unlabelled])
     mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-6
     mean[0], scale[0] = 0, 1
     p, u = (positive - mean) / scale, (unlabelled - mean) / scale
-    pa_, pb, ua, ub = p[::2], p[1::2], u[::2], u[1::2]
-    if len(pb) and len(ub):  # each half is scored by weights from the other
-        one, two = _discriminate(pa_, ua), _discriminate(pb, ub)
-        prior = (best_bin(pb @ one, ub @ one) + best_bin(pa_ @ two, ua @ two)) / 2
-    else:
-        prior = 0.5
+    prior = 0.5
+    if len(p) > 1 and len(u) > 1:  # each half of the positives is scored by weights from the other
+        halves = [(p[1::2], _discriminate(p[::2], u[::2])), (p[::2], _discriminate(p[1::2], u[1::2]))]
+        asked = [(w, cuts_of(half @ w)) for half, w in halves]
+        above, total = count(mean, scale, asked) if count else (above_of(unlabelled, mean, scale, asked), len(unlabelled))
+        prior = sum(best_bin(half @ w, n, total) for (half, w), n in zip(halves, above, strict=True)) / 2
     return Model(mean, scale, _descend(p, u, prior), prior)
 
 
@@ -152,17 +172,32 @@ def _features_of(texts: DataFrame) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", quality: str = "quality") -> Model:
     """Fits on trusted positives that are not held out, and on any text.
 
-    Of each set the :data:`SAMPLE_ROWS` keys with the least hashes are taken,
-    one text a key."""
-    order = F.xxhash64(F.col(key)).alias("h")
-    good = labels.where((F.col(quality) == 1) & ~held_out(F.col(key)) & F.col(key).isNotNull())
-    first = good.select(order, F.col(key).alias("__good")).orderBy("h", "__good").limit(SAMPLE_ROWS).select("__good").distinct()
-    positive = docs.select(key, text).join(F.broadcast(first), F.col(key) == F.col("__good"), "left_semi").dropDuplicates([key]).select(text)
-    last = docs.select(order).orderBy("h").limit(SAMPLE_ROWS).agg(F.max("h").alias("h")).first()["h"]
+    Of the positives the :data:`SAMPLE_ROWS` distinct keys with the least hashes
+    are taken, with the text of least hash of each; of all documents the
+    :data:`SAMPLE_ROWS` distinct pairs of key and text with the least hashes.
+    The class prior's shares are counted over all documents."""
+    good = labels.where((F.col(quality) == 1) & ~held_out(F.col(key)) & F.col(key).isNotNull()).select(F.col(key).alias("__good")).distinct()
+    first = good.select(F.xxhash64("__good").alias("h"), "__good").orderBy("h", "__good").limit(SAMPLE_ROWS).select("__good")
+    known = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(first), F.col("k") == F.col("__good"), "left_semi")
+    positive = known.groupBy("k").agg(F.min_by("t", F.struct(F.xxhash64("t"), "t")).alias("t")).orderBy(F.xxhash64("k"), "k").select("t")
+    rows = docs.select(F.xxhash64(F.col(key), F.col(text)).alias("h"), F.col(text).alias("t"))
+    last = rows.select("h").distinct().orderBy("h").limit(SAMPLE_ROWS).agg(F.max("h").alias("h")).first()["h"]
     if last is None:
         return fit_rows(np.empty((0, N_FEATURES)), np.empty((0, N_FEATURES)))
-    taken = docs.select(order, text).where(F.col("h") <= F.lit(last)).dropDuplicates(["h"]).select(text)
-    return fit_rows(_features_of(positive), _features_of(taken))
+    taken = rows.where(F.col("h") <= F.lit(last)).dropDuplicates(["h"]).orderBy("h").select("t")
+
+    def count(mean: np.ndarray, scale: np.ndarray, asked: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[np.ndarray], int]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                above = above_of(np.array([features(t or "") for t in batch.column(0).to_pylist()]).reshape(-1, N_FEATURES), mean, scale, asked)
+                flat = np.concatenate([[len(batch)], *above]).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], ["i", "n"])
+
+        sums = docs.select(text).mapInArrow(run, "i int, n bigint").groupBy("i").agg(F.sum("n").alias("n")).orderBy("i").collect()  # a row a threshold
+        found = np.array([r["n"] for r in sums])
+        return np.split(found[1:], np.cumsum([len(c) for _, c in asked])[:-1]), int(found[0])
+
+    return fit_rows(_features_of(positive), _features_of(taken), count)
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
@@ -187,6 +222,8 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     Null and empty texts are scored by their (empty) statistics; without
     positives or texts every score is 0.5; labels without a text, null labels
     and repeated labels change nothing; null keys and repeated rows are scored
-    as they come; an empty table gives no rows.
+    as they come; of several texts of a labelled key that of least hash is
+    learned from; very long texts are read whole; other columns are never read;
+    an empty table gives no rows.
     """
     return score(docs, fit(docs, labels, **options), **options)
