@@ -84,27 +84,51 @@ def path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?s:.*?)://[^/?#]*([^?#]*)", 1)
 
 
+def rule_table(raw: DataFrame) -> DataFrame:
+    """Rules for :func:`judge` from a table ``verdict, kind, rule``.
+
+    ``kind`` is ``host`` (``host/path``, its subdomains, paths that start so) or
+    ``words`` (words of a URL joined by hyphens); rows without a letter or digit
+    have no token and are left out.  Repeated rules are one."""
+    host_, path_ = F.regexp_extract("rule", "^([^/]*)(.*)$", 1), F.regexp_extract("rule", "^([^/]*)(.*)$", 2)
+    quoted = lambda c: F.concat(F.lit(r"\Q"), F.replace(c, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    is_host = F.col("kind") == "host"
+    of_host = F.concat(F.lit(r"^(?:[^/]*\.)?"), quoted(host_), quoted(path_))
+    of_words = F.concat(F.lit(r"(?:^|[^0-9A-Za-z])"), quoted(F.col("rule")), F.lit(r"(?:[^0-9A-Za-z]|$)"))
+    tokens = F.filter(F.split("rule", _TOKEN_GAP), lambda t: t != "")
+    # a path may go on in the middle of a token
+    open_end = is_host & (path_ != "") & F.col("rule").rlike("[0-9A-Za-z]$")
+    whole = F.when(open_end, F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0)))).otherwise(tokens)
+    cut = raw.select("verdict", F.when(is_host, F.col("rule")).alias("name"), F.when(is_host, of_host).otherwise(of_words).alias("regex"), F.array_distinct(whole).alias("tokens"))
+    return cut.distinct().where("size(tokens) > 0").select(F.xxhash64("verdict", "regex").alias("id"), "name", "verdict", "regex", "tokens")
+
+
 def _table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     text = json.dumps([{"id": i, "name": r.name, "verdict": r.verdict, "regex": r.regex, "tokens": sorted(set(r.tokens))} for i, r in enumerate(rules)])
-    kind = "array<struct<id: int, name: string, verdict: string, regex: string, tokens: array<string>>>"
+    kind = "array<struct<id: bigint, name: string, verdict: string, regex: string, tokens: array<string>>>"
     return spark.range(1).select(F.explode(F.from_json(F.lit(text), kind)).alias("r")).select("r.*")
 
 
-def judge(pages: DataFrame, rules: list[Rule] | None = None, *, url: str = "url", key: str = "page_id", default: str = ALLOW) -> DataFrame:
+def judge(pages: DataFrame, rules: list[Rule] | DataFrame | None = None, *, url: str = "url", key: str = "page_id", default: str = ALLOW) -> DataFrame:
     """``key, host, path, rule, verdict, n_patterns`` per row.
 
     The longest host rule that fits gives rule and verdict; where none fits,
     ``rule`` is null and a fitting pattern gives the verdict (block before
-    allow), else ``default``.  Null and malformed URLs have an empty host and
-    path; null keys and repeated rows are returned as they come; an empty
-    table gives no rows.
+    allow), else ``default``; of host rules of one length the last in order of
+    name and verdict.  ``rules`` is a list or a table of :func:`rule_table`, of
+    any size.  Null and malformed URLs have an empty host and path; null keys
+    and repeated rows are returned as they come; very long URLs are read whole;
+    other columns are never read; an empty table gives no rows.
     """
     spark = pages.sparkSession
     rules = HOST_RULES + PATTERNS if rules is None else rules
-    if untokened := [r.regex for r in rules if not r.tokens]:
-        raise ValueError(f"rules need a literal token: {untokened[:3]}")
-    small = F.broadcast if len(rules) <= BROADCAST_RULES else (lambda df: df)
-    table = _table(spark, rules)
+    if isinstance(rules, list):
+        if untokened := [r.regex for r in rules if not r.tokens]:
+            raise ValueError(f"rules need a literal token: {untokened[:3]}")
+        table, size = _table(spark, rules), len(rules)
+    else:
+        table, size = rules, rules.count()
+    small = F.broadcast if size <= BROADCAST_RULES else (lambda df: df)
     cut = pages.select(F.col(key).alias("key"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
     tokens = cut.select("key", "host", "path", F.array_distinct(F.split(F.concat("host", "path"), _TOKEN_GAP)).alias("tokens"))
     wanted = table.select("id", F.explode("tokens").alias("token"))
