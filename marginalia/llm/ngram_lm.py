@@ -47,11 +47,12 @@ LEAST = 2
 DISCOUNT = 0.75
 #: A block is closed after so many text bytes or distinct words; a longer text
 #: is cut into pieces of so many bytes, each led by the two words before it.
-BLOCK_BYTES, BLOCK_WORDS, PIECE_BYTES = 8_000_000, 400_000, 4_000_000
+BLOCK_BYTES, BLOCK_WORDS, PIECE_BYTES = 6_000_000, 400_000, 4_000_000
 #: Words of blocks in a word shard and tokens in an n-gram shard.
-SHARD_WORDS, SHARD_TOKENS = 1_000_000, 2_000_000
+SHARD_WORDS, SHARD_TOKENS = 1_000_000, 1_500_000
 _END = b" "  # no word holds a space
 _PACK_TOKENS = 50_000
+_TEXTS, _WORDS, _ORDER = range(3)
 _COUNTS, _ANSWERS, _WEIGHTS, _TAKEN = range(4)
 
 
@@ -80,14 +81,15 @@ def _hash(word: bytes) -> int:
 
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as compressed bytes, whole numbers (none below zero) in as few
-    bytes each as the greatest needs."""
+    bytes each as the greatest needs, all first bytes first."""
     heads, bodies = [], []
     for array in arrays:
         if array.dtype.kind != "f":
             array = array.astype(np.min_scalar_type(int(array.max())) if len(array) else np.uint8)
+        array = np.ascontiguousarray(array)
         heads.append(struct.pack("<2sq", array.dtype.str[1:].encode(), len(array)))
-        bodies.append(np.ascontiguousarray(array).tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([struct.pack("<i", len(arrays)), *heads, *bodies]))
+        bodies.append(array.view(np.uint8).reshape(len(array), -1).T.tobytes() if len(array) else b"")
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([struct.pack("<i", len(arrays)), *heads, *bodies]))
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
@@ -98,8 +100,10 @@ def unpack(data: bytes) -> list[np.ndarray]:
     at, out = 4 + 10 * n, []
     for i in range(n):
         kind, size = struct.unpack_from("<2sq", raw, 4 + 10 * i)
-        array = np.frombuffer(raw, np.dtype("<" + kind.decode()), size, at)
-        at += array.nbytes
+        dtype = np.dtype("<" + kind.decode())
+        planes = np.frombuffer(raw, np.uint8, size * dtype.itemsize, at).reshape(dtype.itemsize, size)
+        array = np.ascontiguousarray(planes.T).view(dtype).reshape(size)
+        at += size * dtype.itemsize
         out.append(array if array.dtype.kind == "f" else array.astype(np.int64))
     return out
 
@@ -122,9 +126,9 @@ def _table(rows: list[tuple]) -> pa.Table:
 def _numbered(docs: DataFrame, text: str, key: str) -> DataFrame:
     """Rows of some texts (``keys, body``: for each piece whether it is held
     out, how many leading words it repeats, its text's number if that has other
-    pieces and else 0, its length; and all word numbers) and of blocks (``keys``
-    null, ``body``: hashes and training counts of the words in order of their
-    numbers).  ``split``: whether a text has several pieces."""
+    pieces and else 0, its length; and all word numbers) and of blocks (kind 1:
+    hashes in order, as differences, and training counts; kind 2: the words'
+    numbers in that order).  ``split``: whether a text has several pieces."""
     kind = docs.select(F.col(key).alias("key")).schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,9 +140,9 @@ def _numbered(docs: DataFrame, text: str, key: str) -> DataFrame:
         tokens, texts = 0, pyspark.TaskContext.get().partitionId() << 32
         type_ = None
 
-        def record(keys: pa.Array, body: bytes, total: int, split: bool) -> pa.RecordBatch:
-            values = [pa.array([block], pa.int64()), keys, pa.array([body], pa.binary()), pa.array([total], pa.int64()), pa.array([split])]
-            return pa.RecordBatch.from_arrays(values, ["block", "keys", "body", "n", "split"])
+        def record(kind_: int, keys: pa.Array, body: bytes, total: int, split: bool) -> pa.RecordBatch:
+            values = [pa.array([block], pa.int64()), pa.array([kind_], pa.int32()), keys, pa.array([body], pa.binary()), pa.array([total], pa.int64()), pa.array([split])]
+            return pa.RecordBatch.from_arrays(values, ["block", "kind", "keys", "body", "n", "split"])
 
         def packed() -> pa.RecordBatch:
             nonlocal rows, tokens, counts
@@ -151,18 +155,19 @@ def _numbered(docs: DataFrame, text: str, key: str) -> DataFrame:
                 more[: len(counts)] += counts
                 counts = more
             keys = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), pa.array([r[0] for r in rows], type_))
-            out = record(keys, pack(*flags, lengths, ids), len(ids), bool(flags[2].any()))
+            out = record(_TEXTS, keys, pack(*flags, lengths, ids), len(ids), bool(flags[2].any()))
             rows, tokens = [], 0
             return out
 
-        def close() -> pa.RecordBatch:
+        def close() -> Iterator[pa.RecordBatch]:
             nonlocal block, counts, size
             hashes = np.fromiter(map(_hash, number), np.uint64, len(number))
             padded = np.r_[counts, np.zeros(len(number) - len(counts), np.int64)]
-            out = record(pa.nulls(1, pa.list_(type_)), pack(hashes, padded), len(number), False)
+            order, none = np.argsort(hashes), pa.nulls(1, pa.list_(type_))
+            yield record(_WORDS, none, pack(np.diff(hashes[order], prepend=np.uint64(0)), padded[order]), len(number), False)
+            yield record(_ORDER, none, pack(order), 0, False)
             number.clear()
             block, counts, size = block + 1, np.zeros(0, np.int64), 0
-            return out
 
         for batch in batches:
             type_ = batch.schema.field(0).type
@@ -182,21 +187,20 @@ def _numbered(docs: DataFrame, text: str, key: str) -> DataFrame:
                         if size >= BLOCK_BYTES or len(number) >= BLOCK_WORDS:
                             if rows:
                                 yield packed()
-                            yield close()
+                            yield from close()
         if rows:
             yield packed()
         if number:
-            yield close()
+            yield from close()
 
     rows = docs.select(F.col(key).alias("key"), held_out(F.col(key)).alias("held_out"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"block bigint, keys array<{kind}>, body binary, n bigint, split boolean")
+    return rows.mapInArrow(run, f"block bigint, kind int, keys array<{kind}>, body binary, n bigint, split boolean")
 
 
-def _by_shard(hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of words by shard and hash, and where shards start in it."""
-    shard = (hashes % np.uint64(shards)).astype(np.int64)
-    order = np.lexsort((hashes, shard))
-    return order, np.searchsorted(shard[order], np.arange(shards + 1))
+def _starts(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """Where shards, which are ranges of hashes, start among ordered ones."""
+    shard = (hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+    return np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
 
 
 def _counted(table: DataFrame, shards: int) -> DataFrame:
@@ -207,21 +211,20 @@ def _counted(table: DataFrame, shards: int) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hashes, n = unpack(body)
-                hashes = hashes.astype(np.uint64)
-                order, starts = _by_shard(hashes, shards)
-                hashes, n = hashes[order], n[order]
-                rows = [(block, _COUNTS, s, pack(hashes[a:b], n[a:b])) for s, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)) if a < b]
+                apart, n = unpack(body)
+                hashes = np.cumsum(apart.astype(np.uint64))
+                starts = _starts(hashes, shards)
+                rows = [(block, _COUNTS, s, pack(np.diff(hashes[a:b], prepend=np.uint64(0)), n[a:b])) for s, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)) if a < b]
                 for at in range(0, len(rows), 256):
                     yield _batch(_ROWS, rows[at : at + 256])
 
     def add(chunks: pa.Table) -> pa.Table:
         shard = chunks.column("shard")[0].as_py()
         parts = [unpack(b) for b in chunks.column("body").to_pylist()]
-        kinds, place = np.unique(np.concatenate([p[0].astype(np.uint64) for p in parts]), return_inverse=True)
+        kinds, place = np.unique(np.concatenate([np.cumsum(p[0].astype(np.uint64)) for p in parts]), return_inverse=True)
         total = np.bincount(place, np.concatenate([p[1] for p in parts]), len(kinds)).astype(np.int64)
         number = np.zeros(len(kinds), np.int64)
-        often = np.flatnonzero(total >= LEAST)
+        often = np.argsort(-total, kind="stable")[: np.count_nonzero(total >= LEAST)]  # small numbers for frequent words
         number[often] = np.arange(len(often)) * shards + shard + 1
         ends = np.cumsum([len(p[0]) for p in parts])
         bodies = [pack(total[x], number[x]) for x in np.split(place, ends[:-1])]
@@ -231,8 +234,8 @@ def _counted(table: DataFrame, shards: int) -> DataFrame:
             out = out.append_column(name, pa.array([None] * (whole - 1) + [int(value)], pa.int64()))
         return out
 
-    chunks = table.where("keys is null").select("block", "body").mapInArrow(deal, _ROWS_DDL)
-    return chunks.groupBy("shard").applyInArrow(add, _ROWS_DDL + ", tokens bigint, kinds bigint, ones bigint, twos bigint")
+    chunks = table.where(F.col("kind") == _WORDS).select("block", "body").mapInArrow(deal, _ROWS_DDL)
+    return chunks.repartition(shards, "shard").groupBy("shard").applyInArrow(add, _ROWS_DDL + ", tokens bigint, kinds bigint, ones bigint, twos bigint")
 
 
 @dataclass
@@ -247,20 +250,19 @@ class _Block:
     words: np.ndarray  # word of each place, by number in the block
     count: np.ndarray  # per word
     number: np.ndarray  # per word, -1 for none
-    order: np.ndarray  # words by shard and hash
+    order: np.ndarray  # words by hash
 
     @classmethod
-    def of(cls, texts: pa.Table, answers: pa.Table, shards: int) -> _Block:
-        keys, parts, hashes = [], [], np.zeros(0, np.uint64)
+    def of(cls, texts: pa.Table, answers: pa.Table) -> _Block:
+        keys, parts, order = [], [], np.zeros(0, np.int64)
         for row, body in zip(texts.column("keys"), texts.column("body").to_pylist(), strict=True):
             if row.is_valid:
                 keys.append(row.values)
                 parts.append(unpack(body))
             else:
-                hashes = unpack(body)[0].astype(np.uint64)
-        order, _ = _by_shard(hashes, shards)
+                (order,) = unpack(body)
         counts = _bodies(answers, _COUNTS)
-        count, number = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        count, number = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
         if counts:
             count[order], number[order] = (np.concatenate([c[i] for c in counts]) for i in (0, 1))
         held, lead, text, lengths, ids = (np.concatenate([p[i] for p in parts]) for i in range(5))
@@ -331,12 +333,18 @@ def _shard_of(u: np.ndarray, v: np.ndarray, shards: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(29))) % np.uint64(shards)).astype(kind)
 
 
-def _grams(table: DataFrame, counted: DataFrame, word_shards: int, shards: int) -> DataFrame:
+def _together(table: DataFrame, answers: DataFrame, blocks: int):
+    """Texts and answers of each block."""
+    left = table.where(F.col("kind") != _WORDS).select("block", "keys", "body").repartition(blocks, "block")
+    return left.groupBy("block").cogroup(answers.repartition(blocks, "block").groupBy("block"))
+
+
+def _grams(table: DataFrame, counted: DataFrame, blocks: int, shards: int) -> DataFrame:
     """Per block and n-gram shard the distinct pairs and triples with their
     training counts."""
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        block = _Block.of(texts, answers, word_shards)
+        block = _Block.of(texts, answers)
         grams = _Grams.of(block, shards)
         learned = block.counted() & np.repeat(block.held == 0, block.ends - block.starts())
         n2, n3 = (np.bincount(x[learned & (x >= 0)], minlength=n) for x, n in ((grams.pair, len(grams.u)), (grams.triple, len(grams.w))))
@@ -356,8 +364,7 @@ def _grams(table: DataFrame, counted: DataFrame, word_shards: int, shards: int)
                 rows.append((name, _ANSWERS, s, body))
         return _table(rows)
 
-    left, right = table.select("block", "keys", "body"), counted.where("block is not null").select(*_ROWS.names)
-    return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, _ROWS_DDL)
+    return _together(table, counted.where("block is not null").select(*_ROWS.names), blocks).applyInArrow(run, _ROWS_DDL)
 
 
 # ---- the trie --------------------------------------------------------------
@@ -420,7 +427,7 @@ class Trie:
         return out
 
 
-def _answered(grams: DataFrame, word_shards: int) -> DataFrame:
+def _answered(grams: DataFrame, word_shards: int, shards: int) -> DataFrame:
     """Per block and n-gram shard the codes of the block's pairs and triples;
     per word shard what pairs take from its words."""
 
@@ -462,7 +469,7 @@ def _answered(grams: DataFrame, word_shards: int) -> DataFrame:
             rows.append((shard, _TAKEN, int(s), pack(known[these] // word_shards, taken[these])))
         return _table(rows)
 
-    return grams.groupBy("shard").applyInArrow(run, _ROWS_DDL)
+    return grams.repartition(shards, "shard").groupBy("shard").applyInArrow(run, _ROWS_DDL)
 
 
 def _weighted(counted: DataFrame, answered: DataFrame, shards: int) -> DataFrame:
@@ -484,8 +491,8 @@ def _weighted(counted: DataFrame, answered: DataFrame, shards: int) -> DataFrame
         coded = Codes(np.clip(1 - total, 1e-6, 1))
         return _table([(b, _WEIGHTS, shard, pack(coded.codes[r], coded.book)) for b, r in zip(blocks, ranks, strict=True)])
 
-    left = counted.where("block is not null").select(*_ROWS.names).groupBy("shard")
-    return left.cogroup(answered.where(F.col("kind") == _TAKEN).groupBy("shard")).applyInArrow(run, _ROWS_DDL)
+    left, right = counted.where("block is not null").select(*_ROWS.names), answered.where(F.col("kind") == _TAKEN)
+    return left.repartition(shards, "shard").groupBy("shard").cogroup(right.repartition(shards, "shard").groupBy("shard")).applyInArrow(run, _ROWS_DDL)
 
 
 # ---- scores ----------------------------------------------------------------
@@ -540,17 +547,22 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFr
     """
     spark = docs.sparkSession
     table = materialize(_numbered(docs, text, key), "numbered")
-    sums = table.agg(F.sum(F.when(F.col("keys").isNull(), F.col("n"))).alias("words"), F.sum(F.when(F.col("keys").isNotNull(), F.col("n"))).alias("tokens"), F.max("split").alias("split")).first()
-    word_shards, shards = 1 + (sums["words"] or 0) // SHARD_WORDS, 1 + (sums["tokens"] or 0) // SHARD_TOKENS
+    sums = table.agg(
+        F.sum(F.when(F.col("kind") == _WORDS, F.col("n"))).alias("words"),
+        F.sum(F.when(F.col("kind") == _TEXTS, F.col("n"))).alias("tokens"),
+        F.count_if(F.col("kind") == _ORDER).alias("blocks"),
+        F.max("split").alias("split"),
+    ).first()
+    word_shards, shards, blocks = 1 + (sums["words"] or 0) // SHARD_WORDS, 1 + (sums["tokens"] or 0) // SHARD_TOKENS, max(sums["blocks"], 1)
     counted = materialize(_counted(table, word_shards), "counted")
     row = counted.agg(*(F.sum(c).alias(c) for c in ("tokens", "kinds", "ones", "twos"))).first()
     discount = row["ones"] / (row["ones"] + 2 * row["twos"]) if row["ones"] and row["twos"] else 0.5
     unigrams = Unigrams(row["tokens"] or 0, row["kinds"] or 0, discount)
-    answered = materialize(_answered(_grams(table, counted, word_shards, shards), word_shards), "answered")
+    answered = materialize(_answered(_grams(table, counted, blocks, shards), word_shards, shards), "answered")
     weighted = _weighted(counted, answered, word_shards)
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        block = _Block.of(texts, answers, word_shards)
+        block = _Block.of(texts, answers)
         grams = _Grams.of(block, shards)
         on, starts = block.counted(), block.starts()
         total = np.where(on, np.log10(_places(block, grams, answers, unigrams)), 0)
@@ -571,11 +583,8 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFr
 
     kind = docs.select(key).schema[0].dataType.simpleString()
     answers = counted.where("block is not null").select(*_ROWS.names).unionByName(answered.where(F.col("kind") == _ANSWERS)).unionByName(weighted)
-    found = (
-        table.select("block", "keys", "body")
-        .groupBy("block")
-        .cogroup(answers.groupBy("block"))
-        .applyInArrow(run, f"`{key}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, `piece of` bigint")
+    found = _together(table, answers, blocks).applyInArrow(
+        run, f"`{key}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, `piece of` bigint"
     )
     if not sums["split"]:
         return found.drop("piece of")

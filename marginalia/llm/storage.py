@@ -13,11 +13,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[str] = []
+#: With it, a query's shuffle files go when its table is written.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where it is unset (a
-    local run or a test) a temporary one is made and set."""
+    """The folder named by ``spark.checkpoint.dir``.  Where it is unset, a
+    local run gets a temporary one; on a cluster that is an error, as every
+    executor would write to its own disk."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
@@ -25,6 +28,8 @@ def shared_dir(spark: SparkSession) -> str:
     held = context._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="marginalia-"))
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -41,14 +46,28 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and reads it back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    held = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if held is None else spark.conf.set(_CLEAN, held)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes every table that :func:`materialize` wrote in this process."""
+def written() -> int:
+    """How many tables :func:`materialize` has written in this process."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int = 0, keep: str | None = None) -> None:
+    """Deletes the tables that :func:`materialize` wrote in this process after
+    the first ``since``, but for those whose tag is ``keep``.  Whatever still
+    reads them must have been written out."""
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    gone = [p for p in _written[since:] if keep is None or not p.rpartition("/")[2].startswith(f"{keep}-")]
+    for name in gone:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+    _written[:] = [p for p in _written if p not in set(gone)]

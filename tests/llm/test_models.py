@@ -185,4 +185,92 @@ def test_quality_without_labels_or_rows(spark, docs, odd):
 def test_prior_is_estimated():
     r = np.random.default_rng(0)
     positive, rest = r.normal(2, 1, 4000), np.r_[r.normal(2, 1, 2800), r.normal(-2, 1, 1200)]
-    assert abs(pu_quality.best_bin(positive, rest) - 0.7) < 0.06
+    above = (rest[None, :] >= pu_quality.cuts_of(positive)[:, None]).sum(axis=1)
+    assert abs(pu_quality.best_bin(positive, above, len(rest)) - 0.7) < 0.06
+
+
+def plain_vectors(text):
+    """The sum of a text's n-gram vectors, one n-gram at a time."""
+    space, letters, total = language_id._Space(), [], np.zeros(language_id.DIMENSIONS, np.int64)
+    for c in f" {text or ''} ".lower():
+        code = ord(c) if c.isalpha() else 0
+        if code or not letters or letters[-1]:
+            letters.append(code)
+    for a, b, c in zip(letters, letters[1:], letters[2:], strict=False):
+        total += np.roll(space.letter_vector(a), 2) * np.roll(space.letter_vector(b), 1) * space.letter_vector(c)
+    return total
+
+
+def test_languages_against_plain_vectors(docs, odd, monkeypatch):
+    monkeypatch.setattr(language_id, "_BLOCK_NGRAMS", 50)
+    rows = [(100 + i, language(i, LETTERS[lang], 20), lang, "s") for i, lang in enumerate(["xx", "yy", "zz"] * 8)] + [r for r in odd if r[0] != 6]
+    learned = {}
+    for k, t, lang, _ in rows:
+        if lang is not None and not (k is not None and zlib.crc32(str(k).encode()) % 5 == 0):
+            learned[lang] = learned.get(lang, 0) + plain_vectors(t)
+    names = sorted(learned)
+
+    def expected(text):
+        if not any(c.isalpha() for c in text or ""):
+            return "und", 0.0
+        v = plain_vectors(text)
+        cosines = [float(v @ learned[n] / (np.linalg.norm(v) * np.linalg.norm(learned[n]))) for n in names]
+        return names[int(np.argmax(cosines))], round(min(max(max(cosines), 0), 1), 4)
+
+    got = Counter((r.doc_id, r.lang_pred, round(r.score, 4)) for r in language_id.identify(docs(rows)).collect())
+    assert got == Counter((k, *expected(t)) for k, t, *_ in rows)
+
+
+def test_many_letters_are_multiplied_in_blocks():
+    han = "".join(chr(0x4E00 + (i * 7919) % 20_000) for i in range(30_000))
+    space = language_id._Space()
+    grams, owner, place = space.profile([han])
+    total = language_id.bundled(space, grams, owner, place, 1)[0]
+    assert len(space.rows) <= language_id.CACHE_NGRAMS + language_id._BLOCK_NGRAMS and len(space.letters) <= language_id.CACHE_LETTERS
+    some = han[:200]
+    grams, owner, place = space.profile([some])
+    assert (language_id.bundled(space, grams, owner, place, 1)[0] == plain_vectors(some)).all() and total.any()
+
+
+def test_risk_against_a_plain_minimiser():
+    """The weights reach the least non-negative risk that a search with
+    numeric gradients from other starts finds."""
+    r = np.random.default_rng(1)
+    p = np.c_[np.ones(150), r.normal(1, 1, (150, 2))]
+    u = np.r_[p[:60], np.c_[np.ones(90), r.normal(-1, 1, (90, 2))]]
+    prior = 0.4
+
+    def risk(w):
+        loss = lambda z: np.logaddexp(0, -z).mean()
+        negative = loss(-(u @ w)) - prior * loss(-(p @ w))
+        return prior * loss(p @ w) + max(0, negative) + pu_quality.PENALTY / 2 * (w[1:] ** 2).sum()
+
+    best = np.inf
+    for seed in range(4):
+        w, step = np.random.default_rng(seed).normal(0, 0.5, 3), 0.5
+        while step > 1e-4:
+            tried = [w + step * d for d in np.r_[np.eye(3), -np.eye(3)]]
+            values = [risk(t) for t in tried]
+            if min(values) < risk(w) - 1e-9:
+                w = tried[int(np.argmin(values))]
+            else:
+                step /= 2
+        best = min(best, risk(w))
+    assert risk(pu_quality._descend(p, u, prior)) < best + 0.01
+
+
+def test_prior_counts_all_texts(spark, docs, words, monkeypatch):
+    """The class prior moves with documents beyond the sample."""
+    monkeypatch.setattr(pu_quality, "SAMPLE_ROWS", 40)
+    good = [(i, " ".join(words(i, 60 + i % 80)) + ".", "en", "a") for i in range(120)]
+    bad = [(1000 + i, junk(i, words), "en", "a") for i in range(300)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(100)], "doc_id long, quality int, toxic int")
+    assert pu_quality.fit(docs(good + bad), labels).prior < pu_quality.fit(docs(good), labels).prior
+
+
+def test_quality_of_repeated_keys_is_settled(spark, docs, words):
+    rows = [(i % 20, " ".join(words(i, 60)), "en", "a") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    one = pu_quality.classify(docs(rows).repartition(1), labels).collect()
+    two = pu_quality.classify(docs(rows[::-1]).repartition(5), labels).collect()
+    assert sorted(one) == sorted(two)
