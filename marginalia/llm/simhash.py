@@ -20,11 +20,11 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.components import connected_components
-from marginalia.llm.storage import free_name, materialize
+from marginalia.llm.storage import few, free_name, materialize
 
 CODE_BITS = 63
 SHINGLE_WORDS = 3
@@ -188,20 +188,41 @@ def placed(marked: DataFrame, find: Callable[[DataFrame], DataFrame], key: str)
     return marked.join(at, "fp").select(key, "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the
-    least key; of rows that repeat that key, one.  Rows with a null key stay
-    only where their whole component has none (one of them)."""
-    return stay(docs, classes(docs, **options), options.get("key", "doc_id"))
+def _row(docs: DataFrame) -> Column:
+    """A hash of the whole row: rows of equal hash and key are the same."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def rows(docs: DataFrame, key: str, fp: Column) -> DataFrame:
+    """``key, row, fp`` of each row."""
+    return docs.select(F.col(key).alias("key"), _row(docs).alias("row"), fp.alias("fp"))
 
 
-def stay(docs: DataFrame, classed: DataFrame, key: str) -> DataFrame:
-    """The rows of ``docs`` that are their component's least, one a key."""
-    kept = classed.where(F.col(key).eqNullSafe(F.col("component_id")))
-    name, copies = free_name(docs, "kept"), free_name(docs, "copies")
-    kept = materialize(kept.groupBy(F.col(key).alias(name)).agg(F.count("*").alias(copies)), "kept")
-    found = docs.join(kept, F.col(key).eqNullSafe(F.col(name)))
+def keep_one(docs: DataFrame, *, text: str = "text", key: str = "doc_id", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the row with the
+    least key (the least hash of the row where texts share that key), once.
+    A row with a null key stays only where its whole component has none."""
+    row, name = free_name(docs, "row"), free_name(docs, "simhash")
+    marked = fingerprints(docs.select(F.struct(F.col(key).alias("key"), _row(docs).alias("row")).alias(row), text), text=text, key=row, words=words)
+    marked = materialize(marked.select(f"{row}.key", f"{row}.row", F.col("fp").alias(name)).withColumnRenamed(name, "fp"), "fingerprints")
+    return stay(docs, marked, lambda distinct: links(distinct, max_bits), key)
+
+
+def stay(docs: DataFrame, marked: DataFrame, find: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
+    """One row of ``docs`` for each component of ``marked(key, row, fp)`` over
+    the links that ``find`` gives for distinct ``fp``."""
+    first = F.min_by(F.struct("key", "row"), F.struct(F.col("key").isNull(), "key", "row"))
+    distinct = materialize(marked.groupBy("fp").agg(first.alias("first")), "distinct")
+    linked = connected_components(find(distinct))
+    at = distinct.join(linked, distinct.fp == linked.node, "left").select(F.coalesce("root", "fp").alias("root"), "first")
+    order = F.struct(F.col("first.key").isNull(), F.col("first.key"), F.col("first.row"))
+    kept = at.groupBy("root").agg(F.min_by("first", order).alias("first"))
+    kept = materialize(kept.select(F.col("first.key").alias("k"), F.col("first.row").alias("r")), "kept")
+    same = marked.join(few(kept), F.col("key").eqNullSafe(F.col("k")) & (F.col("row") == F.col("r"))).groupBy("k", "r").agg(F.count("*").alias("n"))
+    name, row, copies, mine = (free_name(docs, c) for c in ("kept", "row", "copies", "mine"))
+    kept = materialize(same.select(F.col("k").alias(name), F.col("r").alias(row), F.col("n").alias(copies)), "kept")
+    found = docs.withColumn(mine, _row(docs)).join(few(kept), F.col(key).eqNullSafe(F.col(name)) & (F.col(mine) == F.col(row)))
     if kept.where(F.col(copies) > 1).isEmpty():
         return found.select(docs.columns)
-    again = found.where(F.col(copies) > 1).select(docs.columns).dropDuplicates([key])
+    again = found.where(F.col(copies) > 1).dropDuplicates([mine]).select(docs.columns)  # only rows that are the same
     return found.where(F.col(copies) == 1).select(docs.columns).unionByName(again)

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _written: list[str] = []
 #: With it, a query's shuffle files go when its table is written.
@@ -56,6 +57,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that are broadcast: 24 bytes each, 50 MB at most.
+BROADCAST_ROWS = 2_000_000
+
+
+def few(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A materialised table of numbers, marked for broadcast if its rows are
+    counted to be at most so many; else joins shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def written() -> int:
     """How many tables :func:`materialize` has written in this process."""
     return len(_written)

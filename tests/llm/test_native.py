@@ -133,3 +133,92 @@ def test_urls(spark):
 def test_rule_whose_path_ends_inside_a_token(spark):
     pages = spark.createDataFrame([(1, "http://a.com/english")], "page_id long, url string")
     assert url_filters.judge(pages, [url_filters.host_rule("block", "com/en")]).first().verdict == "block"
+
+
+def test_least_determinant_against_many_random_starts(spark):
+    """Each group's determinant is as small as the best of fifty random starts
+    concentrated in numpy, with far outliers left out."""
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    groups = {"g": r.multivariate_normal([1, 0.5, 0.2, 0.3, 0.1], np.diag([0.3, 0.2, 0.3, 0.4, 0.1]) ** 2 + 0.01, 240)}
+    groups["h"] = np.r_[groups["g"][:120] * 0.5, r.normal(3, 0.3, (60, 5))]
+    rows = [(g, *[int(round(v * 10_000)) for v in x]) for g, xs in groups.items() for x in xs]
+    table = spark.createDataFrame(rows, "g string, " + ", ".join(f"x{i} long" for i in range(5)))
+    found = {row.g: row for row in quality_rules.least_determinants(table).collect()}
+    ridge = np.diag([s[2] ** 2 for s in quality_rules.STATISTICS])
+
+    def fit(x):
+        return x.mean(axis=0), quality_rules.CONSISTENCY * np.cov(x.T, bias=True) + ridge
+
+    def squared(x, m, c):
+        return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+
+    for g, xs in groups.items():
+        h, best = int(np.ceil(quality_rules.COVER * len(xs))), np.inf
+        for _ in range(50):
+            m, c = fit(xs[r.choice(len(xs), 8, replace=False)])
+            for _ in range(30):
+                m, c = fit(xs[np.argsort(squared(xs, m, c))[:h]])
+            best = min(best, np.linalg.slogdet(c)[1])
+        assert found[g].det < best + 0.15  # whole bins of distance are taken
+    m = np.array([found["h"][f"m{i}"] for i in range(5)])
+    assert np.abs(m - groups["g"][:120].mean(axis=0) * 0.5).max() < 0.1
+
+
+def test_rows_are_judged_one_by_one(docs, words):
+    """A rejected row takes no other row of its key with it."""
+    good = [(i // 2, " ".join(words(i, 90)), "en", "s") for i in range(160)] + [(None, " ".join(words(500 + i, 90)), "en", "s") for i in range(5)]
+    bad = [(3, "too short", "en", "s"), (None, "short", "en", "s"), (3, None, None, None)]
+    kept = quality_rules.keep_good(docs(good + bad)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter((i, t) for i, t, *_ in good)
+
+
+def test_small_sources_lean_on_their_language(docs, words):
+    """Rows of a source with a few rows are judged like their language's."""
+    rows = [(i, " ".join(words(i, 90)), "en", "big") for i in range(150)] + [(500 + i, " ".join(words(500 + i, 90)), "en", f"tiny{i}") for i in range(6)]
+    odd_one = (900, " ".join(w + "###" for w in words(9, 100)), "en", "tiny1")
+    found = {r.doc_id: r.kept for r in quality_rules.judged(docs([*rows, odd_one])).collect()}
+    assert not found[900] and all(kept for i, kept in found.items() if i != 900)
+
+
+def test_contaminated_rows_take_no_others(docs, spark, words):
+    passage = " ".join(words(77, 12))
+    benchmark = spark.createDataFrame([(1, passage)], "item_id int, text string")
+    rows = [(5, "before " + passage + " after", "en", "s"), (5, " ".join(words(1, 30)), "en", "s"), (None, " ".join(words(2, 30)), "en", "s"), (None, passage, "en", "s"), (6, None, "en", "s")]
+    kept = decontamination.keep_clean(docs(rows), benchmark).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter((rows[i][0], rows[i][1]) for i in (1, 2, 4))
+
+
+def test_contamination_in_many_blocks_and_ties(docs, spark, words, monkeypatch):
+    """Windows whose words are all equally rare, over several blocks."""
+    text = " ".join(f"w{i}" for i in range(60))
+    items = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(5 * i, 5 * i + 12))) for i in range(9)], "item_id int, text string")
+    rows = [(1, text, "en", "s"), (2, text + " " + text, "en", "s"), (3, " ".join(words(1, 40)), "en", "s")]
+    one = sorted(decontamination.contamination(docs(rows), items).collect())
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 200)
+    assert sorted(decontamination.contamination(docs(rows), items).collect()) == one
+    assert [r.n_items for r in one] == [9, 9, 0]
+
+
+def test_thousands_of_rules(spark):
+    """Rules as a table against every rule on every URL."""
+    raw = [("block", "host", f"site{i}.example/p{i % 7}") for i in range(2500)] + [("allow", "host", "site7.example/p0/ok"), ("block", "words", "bad-word"), ("allow", "host", "///"), ("block", "host", "site9.example/p2")]
+    rules = url_filters.rule_table(spark.createDataFrame(raw, "verdict string, kind string, rule string"))
+    urls = [(i, f"http://{'a.' * (i % 3)}site{i * 13 % 2600}.example/p{i % 7}{'/ok' * (i % 2)}?q") for i in range(400)]
+    urls += [(900, "x://site7.example/p0/ok/more"), (901, "x://site7.example/p0"), (902, None), (903, "x://other/bad-word.html"), (904, "x://other/badword"), (905, "http://" + "a" * 50_000 + "/p")]
+    pages = spark.createDataFrame(urls, "page_id int, url string")
+
+    def expected(url):
+        found = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (found[1].lower(), found[2]) if found else ("", "")
+        fits = []
+        for verdict, kind, rule in raw:
+            h, slash, rest = rule.partition("/")
+            if kind == "host" and re.search("[0-9A-Za-z]", rule) and (host == h or host.endswith("." + h)) and path.startswith(slash + rest):
+                fits.append((len(rule), rule, verdict))
+        words_ = bool(re.search(r"(?:^|[^0-9A-Za-z])bad-word(?:[^0-9A-Za-z]|$)", host + path))
+        return (max(fits)[1:] if fits else (None, "block" if words_ else "allow"))
+
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filters.judge(pages, rules).collect()}
+    assert got == {i: expected(u) for i, u in urls}
