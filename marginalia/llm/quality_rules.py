@@ -5,7 +5,7 @@ statistics.  Per language and source a minimum-covariance-determinant estimate
 is fitted from three starts by concentration steps: mean and covariance of a
 subset, squared Mahalanobis distances of all rows, the closest :data:`COVER`
 share of the rows as the next subset, until no determinant falls; the least one
-is taken.  A source leans on its language and a language on the whole, the more
+is taken.  A source leans on its language and a language on all, the more
 the fewer rows it has.  Rows beyond :data:`CUTOFF` are rejected.
 
 Each step needs two small aggregations over numbers, pre-aggregated before
@@ -28,8 +28,10 @@ from marginalia.llm.storage import free_name, materialize
 
 #: Share of a group's rows that the estimate rests on.
 COVER = 0.6
-#: Concentration steps at most; a few reach a fixed point.
-MAX_STEPS = 20
+#: Concentration steps at most (a few reach a fixed point), after how many only
+#: the best start of a group goes on, and how much the logarithm of a determinant
+#: must fall for another step.
+MAX_STEPS, FIRST_STEPS, FALL = 20, 2, 0.01
 #: Rows at which a group's estimate counts as much as that one level up; its
 #: weight is n**2 / (n**2 + PRIOR_ROWS**2), so a few rows, which can't outvote an
 #: outlier among them, count for next to nothing.
@@ -115,13 +117,11 @@ def _base_failed() -> Column:
 
 
 def _grouped(stats: DataFrame) -> DataFrame:
-    """``key, g, x0..`` of rows that pass the base rules: the row's source,
-    language and whole as groups, and the statistics in 1/10000."""
+    """``key, g, x0..`` of rows that pass the base rules: the row's source and
+    language as groups, and the statistics in 1/10000."""
     return stats.where(~_base_failed()).select(
         "key",
-        F.array(
-            F.concat(F.lit("source "), F.to_json(F.struct("lang", "source"))), F.concat(F.lit("lang "), F.to_json(F.struct("lang"))), F.lit("all")
-        ).alias("g"),
+        F.array(F.concat(F.lit("source "), F.to_json(F.struct("lang", "source"))), F.concat(F.lit("lang "), F.to_json(F.struct("lang")))).alias("g"),
         *[F.expr(f"cast(round({e} * {_UNIT}) as bigint)").alias(f"x{i}") for i, (_, e, _) in enumerate(STATISTICS)],
     )
 
@@ -220,41 +220,43 @@ def least_determinants(rows: DataFrame) -> DataFrame:
     """``g, start, n, m0.., c0_0.., det``: the minimum-covariance-determinant
     estimate of each group of ``g, x0..``.
 
-    Three starts are concentrated until no determinant of any group falls any
-    more (each step takes the closest :data:`COVER` of the rows, whole bins of
-    distance); of a group's results that of least determinant is taken."""
+    Three starts are concentrated (each step takes the closest :data:`COVER`
+    of the rows, whole bins of distance); after :data:`FIRST_STEPS` of a group's
+    results that of least determinant goes on, until no determinant of any group
+    falls any more."""
     fitted = materialize(_factored(_starts(rows)), "estimates")
-    for number in range(MAX_STEPS):
+    for number in range(1, MAX_STEPS + 1):
         model = fitted.withColumnRenamed("g", "eg").drop("n")
         placed = rows.join(model, F.col("g") == F.col("eg")).select("g", "start", *_X, _octave(_distance()).alias("bin"))
         near = _quantile(placed.groupBy("g", "start", "bin").agg(F.count("*").alias("n")), COVER, "g", "start")
         near = materialize(near.select(F.col("g").alias("ng"), F.col("start").alias("ns"), "q"), "near")
         inside = placed.join(near, (F.col("g") == F.col("ng")) & (F.col("start") == F.col("ns"))).where("bin <= q")
         last = fitted.select(F.col("g").alias("lg"), F.col("start").alias("ls"), F.col("det").alias("was"))
-        step = _factored(_moments(inside, "g", "start"))
-        fitted = materialize(step.join(last, (F.col("g") == F.col("lg")) & (F.col("start") == F.col("ls"))).drop("lg", "ls"), "estimates")
-        fell = fitted.where(F.col("det") < F.col("was") - 1e-6).limit(1)
-        fitted = fitted.drop("was")
-        if number and fell.isEmpty():  # the first step only leaves the starts
+        step = _factored(_moments(inside, "g", "start")).join(last, (F.col("g") == F.col("lg")) & (F.col("start") == F.col("ls"))).drop("lg", "ls")
+        if number == FIRST_STEPS:
+            columns = [c for c in step.columns if c != "g"]
+            step = step.groupBy("g").agg(F.min_by(F.struct(*columns), F.struct("det", "start")).alias("b")).select("g", "b.*")
+        fitted = materialize(step, "estimates")
+        if number > FIRST_STEPS and fitted.where(F.col("det") < F.col("was") - FALL).isEmpty():
             break
-    columns = [c for c in fitted.columns if c not in ("g", "det")]
-    best = fitted.groupBy("g").agg(F.min_by(F.struct(*columns), F.struct("det", "start")).alias("b"), F.min("det").alias("det"))
-    return materialize(best.select("g", "b.*", "det"), "least")
+        fitted = fitted.drop("was")
+    return fitted
 
 
 def estimates(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """``eg, m0.., f0_0..`` of each source: its own estimate mixed with that of
-    its language, and that with the whole's, by :data:`PRIOR_ROWS`.  There is no
-    size at which the rule changes.
+    its language, and that with the languages' mean, by :data:`PRIOR_ROWS`.
+    There is no size at which the rule changes.
 
     ``rows(g, x0..)`` of all groups, ``sizes(source, lang, n, lang_n)``."""
     fitted = least_determinants(rows)
     numbers = [f"m{i}" for i in range(_P)] + [f"c{i}_{j}" for i, j in _PAIRS]
     named = lambda x: fitted.select(F.col("g").alias(f"{x}g"), *[F.col(c).alias(f"{x}_{c}") for c in numbers])
-    every = sizes.withColumn("all", F.lit("all")).join(named("s"), F.col("source") == F.col("sg"))
-    every = every.join(named("l"), F.col("lang") == F.col("lg")).join(named("a"), F.col("all") == F.col("ag"))
     share = lambda n: F.pow(n, F.lit(2.0)) / (F.pow(n, F.lit(2.0)) + PRIOR_ROWS**2)
     mixed = lambda own, n, prior: own * share(n) + prior * (1 - share(n))
+    languages = sizes.select("lang", "lang_n").distinct().join(named("l"), F.col("lang") == F.col("lg")).withColumn("w", F.col("lang_n") * share(F.col("lang_n")))
+    whole = languages.agg(*[(F.sum(F.col(f"l_{c}") * F.col("w")) / F.sum("w")).alias(f"a_{c}") for c in numbers]).withColumn("all", F.lit("all"))
+    every = sizes.drop("lang_n").join(languages, "lang").join(named("s"), F.col("source") == F.col("sg")).withColumn("all", F.lit("all")).join(whole, "all")
     language = {c: mixed(F.col(f"l_{c}"), F.col("lang_n"), F.col(f"a_{c}")) for c in numbers}
     final = every.select(F.col("source").alias("eg"), *[mixed(F.col(f"s_{c}"), F.col("n"), language[c]).alias(c) for c in numbers])
     return materialize(_factored(final).drop("det", *[f"c{i}_{j}" for i, j in _PAIRS]), "estimates")
