@@ -148,3 +148,98 @@ def transfer_case(like: Column, text: Column) -> Column:
     upper = (F.upper(like) == like) & (F.lower(like) != like) & (F.length(like) > 1)
     title = F.upper(F.substring(like, 1, 1)) == F.substring(like, 1, 1)
     return F.when(upper, F.upper(text)).when(title & (F.lower(like) != like), first).otherwise(text)
+
+
+#: Words as the optical readers cut them: letters, digits and underscores.
+_WORD = r"[\p{L}\p{N}_]+(?:['’-][\p{L}\p{N}_]+)*"
+#: Double quotation marks of all kinds (fixed values).
+QUOTES = '"„“”«»‟'
+#: Pairs of digits that are easily confused in print (fixed values).
+SIMILAR_DIGITS = ["68", "38", "56", "29", "17", "08"]
+#: Weight of each kind of error in a judgment (fixed values).
+ERROR_WEIGHTS = {"omission": 1.0, "meaning_error": 1.0, "addition": 0.7, "terminology": 0.5}
+
+
+def ocr_tokens(text: Column) -> Column:
+    """Words, or single punctuation marks."""
+    return F.regexp_extract_all(text, F.lit(rf"({_WORD}|[^\p{{L}}\p{{N}}_\s\p{{Z}}])"), 1)
+
+
+def lexical_tokens(text: Column) -> Column:
+    """Runs of letters and runs of digits."""
+    return F.regexp_extract_all(text, F.lit(r"([\p{L}\p{Nl}\p{No}]+|\p{Nd}+)"), 1)
+
+
+def short_tokens(text: Column, most: int = 3) -> Column:
+    """Runs of letters and digits of at most ``most`` characters."""
+    return F.filter(F.regexp_extract_all(text, F.lit(r"([\p{L}\p{N}]+)"), 1), lambda w: F.length(w) <= most)
+
+
+def plain_sentences(text: Column) -> Column:
+    """Pieces between sentence marks and white space, without the marks."""
+    return F.split(text, r"[.!?;]\s+")
+
+
+def folded(text: Column) -> Column:
+    """Straight apostrophes and dashes, words broken over lines joined, white
+    space collapsed, leading bullets dropped."""
+    straight = F.translate(text, "’—–", "'--")
+    joined = F.regexp_replace(straight, r"([\p{L}\p{N}_])-\s*\n\s*([\p{L}\p{N}_])", "$1$2")
+    return F.regexp_replace(collapse(joined), r"^[*•+ ]+", "")
+
+
+def punctuation_form(text: Column, original: Column) -> Column:
+    """Quotes folded to straight ones; apostrophes too where the original
+    holds a double quote."""
+    lookalikes = F.when(original.rlike(f"[{QUOTES}]"), F.translate(text, "’‘'", '"""')).otherwise(text)
+    return collapse(F.translate(lookalikes, "„“”«»", '"""""'))
+
+
+def canonical(text: Column) -> Column:
+    """Straight quotes and no white space."""
+    return F.regexp_replace(F.translate(text, "“”‘’", "\"\"''"), r"\s+", "")
+
+
+def to_cyrillic(text: Column) -> Column:
+    """Latin letters replaced by the Cyrillic ones that look like them."""
+    return F.translate(text, LATIN, CYRILLIC)
+
+
+def to_latin(text: Column) -> Column:
+    """Cyrillic letters replaced by the Latin ones that look like them."""
+    return F.translate(text, CYRILLIC, LATIN)
+
+
+def to_digits(text: Column) -> Column:
+    """Letters replaced by the digits they are read for."""
+    return F.translate(text, DIGIT_LETTERS, DIGITS)
+
+
+def glyph_cost(observed: Column, alternative: Column) -> Column:
+    """How unlike two digit strings look: a similar pair costs a half, another
+    pair 2, different lengths 2 in all."""
+    either = [p for pair in SIMILAR_DIGITS for p in (pair, pair[::-1])]
+    one = lambda a, b: F.when(a == b, 0.0).when(F.concat(a, b).isin(either), 0.5).otherwise(2.0)
+    costs = F.zip_with(F.split(observed, ""), F.split(alternative, ""), one)
+    return F.when(F.length(observed) != F.length(alternative), 2.0).otherwise(F.aggregate(costs, F.lit(0.0), lambda a, x: a + x))
+
+
+def quality_score(errors: dict[str, Column], fluency: Column) -> Column:
+    """0 to 100 from error probabilities; those under a half count as none and
+    the most likely error decides."""
+    worst = F.greatest(*[F.greatest(F.lit(0.0), (c - 0.5) / 0.5) * ERROR_WEIGHTS[n] for n, c in errors.items()], F.lit(0.0))
+    return F.bround(100 * (1 - worst) * (0.7 + 0.3 * fluency)).cast("int")
+
+
+def clean_wiki(text: Column) -> Column:
+    """Plain text of wiki markup: references, templates, links and emphasis
+    removed, a comment template's text kept."""
+    for pattern, kept in (
+        (r"(?s)<ref[^>/]*/>|<ref[^>]*>.*?</ref>", ""),
+        (r"\{\{comment\|([^|}]*)\|[^}]*\}\}", "$1"),
+        (r"\{\{[^{}]*\}\}", ""),
+        (r"\[\[(?:[^|\]]*\|)?([^\]]*)\]\]", "$1"),
+        (r"<[^>]+>|'''?", ""),
+    ):
+        text = F.regexp_replace(text, pattern, kept)
+    return collapse(text)

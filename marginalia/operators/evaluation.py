@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from itertools import accumulate
+from math import exp, factorial
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginalia.functions import text as X
+from marginalia.functions.similarity import seq_ratio, word_edits
+
 
 def _ratio(a: Column, b: Column) -> Column:
     """Null where the denominator is 0."""
@@ -83,37 +89,114 @@ def character_errors(pages: DataFrame, group: str) -> DataFrame:
     )
 
 
-#: Cumulative probabilities of the Poisson distribution of mean 1.
-_POISSON = [0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406, 0.999917]
+def text_errors(pages: DataFrame, group: str) -> DataFrame:
+    """Character and word error rates before and after, by summed edit
+    distances: absolute improvement and share of errors removed.
+    ``pages(group, before, output, truth)``."""
+    words = lambda c: F.size(X.space_tokens(F.col(c)))
+    totals = pages.groupBy(group).agg(
+        F.sum(F.length("truth")).alias("characters"),
+        F.sum(words("truth")).alias("words"),
+        F.sum(F.levenshtein("before", "truth")).alias("edits_before"),
+        F.sum(F.levenshtein("output", "truth")).alias("edits_after"),
+        F.sum(word_edits("before", "truth")).alias("word_edits_before"),
+        F.sum(word_edits("output", "truth")).alias("word_edits_after"),
+    )
+    rate = lambda a, b: _ratio(F.col(a), F.col(b))
+    return totals.select(
+        "*",
+        rate("edits_before", "characters").alias("cer_before"),
+        rate("edits_after", "characters").alias("cer_after"),
+        rate("word_edits_before", "words").alias("wer_before"),
+        rate("word_edits_after", "words").alias("wer_after"),
+        _ratio(F.col("edits_before") - F.col("edits_after"), F.col("characters")).alias("cer_improvement"),
+        _ratio(F.col("word_edits_before") - F.col("word_edits_after"), F.col("words")).alias("wer_improvement"),
+        _ratio(F.col("edits_before") - F.col("edits_after"), F.col("edits_before")).alias("cer_reduction"),
+    )
+
+
+#: Cumulative probabilities of the Poisson distribution of mean 1, to 2**-53.
+_POISSON = list(accumulate(exp(-1) / factorial(k) for k in range(18)))
 
 
 def _draws(*parts: Column) -> Column:
     """How often something is drawn: a Poisson number made from a hash."""
-    share = F.pmod(F.xxhash64(*parts), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    share = F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))
     out = F.lit(len(_POISSON))
     for n, top in reversed(list(enumerate(_POISSON))):
         out = F.when(share < top, n).otherwise(out)
     return out
 
 
-def bootstrap(rows: DataFrame, book: str, page: str, value: str, replicates: int = 200, seed: int = 7) -> DataFrame:
-    """95 % intervals of a mean by resampling books, then pages.
+def bootstrap(rows: DataFrame, book: str, page: str, values: dict[str, tuple[Column, Column]], replicates: int = 1000, seed: int = 7) -> DataFrame:
+    """``metric, replicates, low, high``: 95 % intervals of ratios of sums by
+    resampling books, then pages; every metric of a replicate is taken over the
+    same draw, so differences of two of them are paired.
 
-    How often a book, and a page of it, is drawn in a replicate is a Poisson
-    number made from a hash of (seed, replicate, book, page), the limit of
-    drawing with replacement.  So no group is gathered anywhere, each replicate
-    is pre-aggregated before the shuffle, and a run can be repeated.  Fewer
-    than two books give no interval and no row.
+    ``values`` maps a metric to numerator and denominator; ``a - b`` names the
+    difference of two others.  How often a book, and a page of it, is drawn in a
+    replicate is a Poisson number made from a hash of (seed, replicate, book,
+    page), the limit of drawing with replacement.  So no group is gathered
+    anywhere, each replicate is pre-aggregated before the shuffle, and a run can
+    be repeated.  Fewer than two books, or a hundred replicates, give no row.
     """
-    pages = rows.groupBy(book, page).agg(F.sum(value).alias("s"), F.count(value).alias("c"))
-    spread = pages.select(book, page, "s", "c", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
-    weight = _draws(F.lit(seed), F.col("r"), F.col(book)) * _draws(F.lit(seed + 1), F.col("r"), F.col(book), F.col(page))
-    drawn = spread.withColumn("w", weight).where("w > 0").groupBy("r").agg(F.try_divide(F.sum(F.col("w") * F.col("s")).cast("double"), F.sum(F.col("w") * F.col("c"))).alias("m"))
-    values = drawn.where(F.col("m").isNotNull()).agg(F.array_sort(F.collect_list("m")).alias("v")).where("size(v) > 0")
-    books = pages.agg(F.count_distinct(book).alias("_books"))
-    values = values.crossJoin(books).where("_books >= 2")
-    return values.select(
-        F.size("v").alias("replicates"),
-        F.round(F.element_at("v", (F.floor((F.size("v") - 1) * F.lit(0.025)) + 1).cast("int")), 6).alias("low"),
-        F.round(F.element_at("v", (F.ceil((F.size("v") - 1) * F.lit(0.975)) + 1).cast("int")), 6).alias("high"),
+    if replicates < 100:
+        raise ValueError("an interval needs a hundred replicates")
+    ratios = {n: v for n, v in values.items() if " - " not in n}
+    sums = [F.sum(v[k]).cast("double").alias(f"_{i}_{k}") for i, v in enumerate(ratios.values()) for k in (0, 1)]
+    pages = rows.groupBy(F.col(book).alias("_book"), F.col(page).alias("_page")).agg(*sums)
+    names = [f"_{i}_{k}" for i in range(len(ratios)) for k in (0, 1)]
+    spread = pages.select("_book", "_page", *names, F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
+    weight = _draws(F.lit(seed), F.col("r"), F.col("_book")) * _draws(F.lit(seed + 1), F.col("r"), F.col("_book"), F.col("_page"))
+    drawn = spread.withColumn("w", weight).where("w > 0").groupBy("r").agg(*[F.sum(F.col("w") * F.col(n)).alias(n) for n in names])
+    each = {n: F.try_divide(F.col(f"_{i}_0"), F.col(f"_{i}_1")) for i, n in enumerate(ratios)}
+    for n in values:
+        if " - " in n:
+            a, b = n.split(" - ")
+            each[n] = each[a] - each[b]
+    long = drawn.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), c.alias("m")) for n, c in each.items()])).alias("e")).select("e.*")
+    lists = long.where("m is not null").groupBy("metric").agg(F.array_sort(F.collect_list("m")).alias("v"))
+    books = pages.agg(F.count_distinct("_book").alias("_books"))
+    found = lists.join(books, F.col("_books") >= 2)  # one row
+    place = lambda share, f: F.round(F.element_at("v", (f((F.size("v") - 1) * F.lit(share)) + 1).cast("int")), 6)
+    return found.select("metric", F.size("v").alias("replicates"), place(0.025, F.floor).alias("low"), place(0.975, F.ceil).alias("high"))
+
+
+def engine_benchmark(pages: DataFrame, least: float = 0.02) -> DataFrame:
+    """``page, engine, characters, lines, agreement, confidence, proposed``:
+    how alike an engine's text of a page is to the other engines', and whether
+    it leads three or more of them by ``least``.
+
+    ``pages(page, engine, text, lines, confidence)``."""
+    other = pages.select(F.col("page").alias("_page"), F.col("engine").alias("_engine"), F.col("text").alias("_text"))
+    met = pages.join(other, (F.col("page") == F.col("_page")) & (F.col("engine") != F.col("_engine")))
+    means = met.groupBy(F.col("page").alias("_p"), F.col("engine").alias("_e")).agg(F.round(F.avg(seq_ratio("text", "_text")), 4).alias("agreement"))
+    rows = pages.join(means, (F.col("page") == F.col("_p")) & (F.col("engine") == F.col("_e")), "left")
+    order = Window.partitionBy("page").orderBy(F.desc("agreement"), "engine")
+    ranked = rows.withColumn("_k", F.row_number().over(order)).withColumn("_n", F.count("agreement").over(Window.partitionBy("page"))).withColumn("_next", F.lead("agreement").over(order))
+    proposed = (F.col("_k") == 1) & (F.col("_n") >= 3) & (F.round(F.col("agreement") - F.col("_next"), 4) >= least)
+    return ranked.select("page", "engine", F.length("text").alias("characters"), "lines", "agreement", F.round("confidence", 4).alias("confidence"), F.coalesce(proposed, F.lit(False)).alias("proposed"))
+
+
+def review_sessions(sessions: DataFrame, decisions: DataFrame, gold: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Outcomes per session, and per strategy: sessions, the median of correct
+    errors a minute, wrong decisions.
+
+    A decision without a replacement abstains; one is correct if it is the
+    truth, and resolves an error if the word was not.  Decisions on unknown
+    units count as ``unknown``.  ``sessions(session, strategy, elapsed_ms)``,
+    ``decisions(session, id, replacement)``, ``gold(id, before, truth)``."""
+    met = decisions.join(gold, "id", "left")
+    right = F.col("replacement") == F.col("truth")
+    known = F.col("truth").isNotNull()
+    counts = met.groupBy("session").agg(
+        F.count("*").alias("units"),
+        F.count_if(~known).alias("unknown"),
+        F.count_if(known & F.col("replacement").isNull()).alias("abstained"),
+        F.count_if(right).alias("correct"),
+        F.count_if(known & F.col("replacement").isNotNull() & ~right).alias("wrong"),
+        F.count_if(right & (F.col("before") != F.col("truth"))).alias("resolved"),
     )
+    each = sessions.join(counts, "session").withColumn("per_minute", F.round(F.try_divide(F.col("resolved") * 60000.0, F.col("elapsed_ms")), 6))
+    by = each.groupBy("strategy").agg(F.count("*").alias("sessions"), F.median("per_minute").alias("median_per_minute"), F.sum("wrong").alias("wrong"))
+    return each, by

@@ -1,4 +1,4 @@
-"""Nearest, interval, bounding, ledger, overlay and closure joins."""
+"""Nearest, interval, band, binding, ledger, overlay and closure joins."""
 
 from __future__ import annotations
 
@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginalia.functions import text as X
+from marginalia.sources.settle import settled
+
 
 def nearest(left: DataFrame, right: DataFrame, by: str, left_at: str, right_at: str, reach: float, left_id: str, right_id: str) -> DataFrame:
     """Per left row the nearest right row of the same ``by`` less than
@@ -25,16 +28,112 @@ def nearest(left: DataFrame, right: DataFrame, by: str, left_at: str, right_at:
     return left.join(best, F.col(left_id) == F.col("_left"), "left").drop("_left")
 
 
-def within(spans: DataFrame, containers: DataFrame, by: str) -> DataFrame:
-    """Spans with the containers of the same ``by`` that hold them whole."""
-    a, b = spans.alias("a"), containers.alias("b")
-    return a.join(b, (F.col(f"a.{by}") == F.col(f"b.{by}")) & (F.col("b.start") <= F.col("a.start")) & (F.col("b.stop") >= F.col("a.stop")))
-
-
-def overlapping(spans: DataFrame, others: DataFrame, by: str) -> DataFrame:
-    """Pairs of spans of the same ``by`` that share at least one place."""
-    a, b = spans.alias("a"), others.alias("b")
-    return a.join(b, (F.col(f"a.{by}") == F.col(f"b.{by}")) & (F.col("b.stop") > F.col("a.start")) & (F.col("b.start") < F.col("a.stop")))
+def _in_buckets(rows: DataFrame, width: int) -> DataFrame:
+    """A row for each stretch of ``width`` places that a span touches."""
+    last = F.greatest(F.col("stop") - 1, F.col("start"))
+    return rows.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(last / width))))
+
+
+def within(spans: DataFrame, containers: DataFrame, by: str, width: int = 4096) -> DataFrame:
+    """Spans with the containers of the same ``by`` that hold them whole; they
+    meet in the stretch where the span starts."""
+    a = spans.withColumn("_bucket", F.floor(F.col("start") / width)).alias("a")
+    b = _in_buckets(containers, width).alias("b")
+    met = a.join(b, (F.col(f"a.{by}") == F.col(f"b.{by}")) & (F.col("a._bucket") == F.col("b._bucket")))
+    return met.where((F.col("b.start") <= F.col("a.start")) & (F.col("b.stop") >= F.col("a.stop")))
+
+
+def overlapping(spans: DataFrame, others: DataFrame, by: str, width: int = 4096) -> DataFrame:
+    """Pairs of spans of the same ``by`` that share at least one place, once
+    each: in the first stretch that both touch."""
+    a, b = _in_buckets(spans, width).alias("a"), _in_buckets(others, width).alias("b")
+    met = a.join(b, (F.col(f"a.{by}") == F.col(f"b.{by}")) & (F.col("a._bucket") == F.col("b._bucket")))
+    first = F.floor(F.greatest(F.col("a.start"), F.col("b.start")) / width) == F.col("a._bucket")
+    return met.where((F.col("b.stop") > F.col("a.start")) & (F.col("b.start") < F.col("a.stop")) & first)
+
+
+def only_container(met: DataFrame, key: list[str], value: str) -> DataFrame:
+    """Of spans joined with containers, those with exactly one."""
+    return met.groupBy(*[F.col(k) for k in key]).agg(F.min(value).alias(value.rpartition(".")[2]), F.count("*").alias("_n")).where("_n = 1").drop("_n")
+
+
+def unique_match(left: DataFrame, right: DataFrame, by: str, at: str, reach: float, key: str) -> DataFrame:
+    """``key, match``: left rows with exactly one other row of the right side
+    at most ``reach`` away, nothing else."""
+    a = left.select(key, by, F.col(at).alias("_at"), F.floor(F.col(at) / reach).alias("_bucket"))
+    near = F.array(*[F.floor(F.col(at) / reach) + k for k in (-1, 0, 1)])
+    b = right.select(F.col(key).alias("_other"), F.col(by).alias("_by"), F.col(at).alias("_place"), F.explode(near).alias("_b"))
+    met = a.join(b, (F.col(by) == F.col("_by")) & (F.col("_bucket") == F.col("_b")) & (F.col(key) != F.col("_other")) & (F.abs(F.col("_at") - F.col("_place")) <= reach))
+    return met.groupBy(key).agg(F.count("*").alias("_n"), F.min("_other").alias("match")).where("_n = 1").drop("_n")
+
+
+def in_band(rows: DataFrame, peers: DataFrame, page: str = "page", below: float = 0.002, left: float = 0.035, right: float = 0.05) -> DataFrame:
+    """Rows with the peers of their page whose centre lies in them and whose
+    edges are theirs.  Both have ``page, x0, y0, x1, y1``; peers' columns get
+    a ``peer_`` in front."""
+    b = peers.select(*[F.col(c).alias(f"peer_{c}") for c in peers.columns])
+    centre = (F.col("peer_y0") + F.col("peer_y1")) / 2
+    inside = centre.between(F.col("y0"), F.col("y1") + below)
+    edges = (F.abs(F.col("peer_x0") - F.col("x0")) < left) & (F.abs(F.col("peer_x1") - F.col("x1")) < right)
+    return rows.join(b, (F.col(page) == F.col(f"peer_{page}")) & inside & edges)
+
+
+def nearby(decisions: DataFrame, rows: DataFrame, page: str = "page", high: float = 0.005, wide: float = 0.15) -> DataFrame:
+    """Decisions with the rows of their page whose centre is less than
+    ``high`` and ``wide`` away.  Both have ``page, x, y``; rows' columns get a
+    ``row_`` in front; they meet in strips of the page."""
+    a = decisions.withColumn("_strip", F.floor(F.col("y") / high))
+    b = rows.select(*[F.col(c).alias(f"row_{c}") for c in rows.columns])
+    b = b.withColumn("_s", F.explode(F.array(*[F.floor(F.col("row_y") / high) + k for k in (-1, 0, 1)])))
+    close = (F.abs(F.col("y") - F.col("row_y")) < high) & (F.abs(F.col("x") - F.col("row_x")) < wide)
+    return a.join(b, (F.col(page) == F.col(f"row_{page}")) & (F.col("_strip") == F.col("_s")) & close).drop("_strip", "_s")
+
+
+def bound(decisions: DataFrame, rows: DataFrame) -> DataFrame:
+    """``decision_id, row_id, reason``: the one row a decision was made for.
+
+    By the hash of the text; where several rows have it, by the hash of the
+    evidence; where several have that too, by the place.  Else a reason:
+    text-changed, evidence-changed, ambiguous-place.
+    ``decisions(decision_id, text_hash, evidence_hash, place)``,
+    ``rows(row_id, text_hash, evidence_hash, place)``."""
+    # copies of a row are one, however many there are
+    r = rows.groupBy("text_hash", F.col("evidence_hash").alias("_evidence"), F.col("place").alias("_place")).agg(F.count("*").alias("_n"), F.min("row_id").alias("_id"))
+    met = decisions.join(r, "text_hash", "left")
+    same = F.col("evidence_hash") == F.col("_evidence")
+    there = same & (F.col("place") == F.col("_place"))
+    count = lambda c: F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0))
+    counts = met.groupBy("decision_id").agg(
+        count(F.col("_id").isNotNull()).alias("texts"), F.min("_id").alias("one"),
+        count(same).alias("evidences"), F.min(F.when(same, F.col("_id"))).alias("two"),
+        count(there).alias("places"), F.min(F.when(there, F.col("_id"))).alias("three"),
+    )
+    row = F.when(F.col("texts") == 1, F.col("one")).when(F.col("evidences") == 1, F.col("two")).when(F.col("places") == 1, F.col("three"))
+    reason = F.when(row.isNotNull(), "bound").when(F.col("texts") == 0, "text-changed").when(F.col("evidences") == 0, "evidence-changed").otherwise("ambiguous-place")
+    return counts.select("decision_id", row.alias("row_id"), reason.alias("reason"))
+
+
+def inventory(gold: DataFrame, system: DataFrame, key: str) -> DataFrame:
+    """``key, status`` of every id that is not once on both sides: missing,
+    unknown, repeated."""
+    g = gold.groupBy(F.col(key).alias("_g")).agg(F.count("*").alias("_wanted"))
+    s = system.groupBy(F.col(key).alias("_s")).agg(F.count("*").alias("_given"))
+    both = g.join(s, F.col("_g") == F.col("_s"), "full_outer")
+    status = F.when(F.col("_given").isNull(), "missing").when(F.col("_wanted").isNull(), "unknown").when((F.col("_wanted") > 1) | (F.col("_given") > 1), "repeated")
+    return both.select(F.coalesce("_g", "_s").alias(key), status.alias("status")).where("status is not null")
+
+
+def redirected(terms: DataFrame, redirects: DataFrame, pages: DataFrame) -> DataFrame:
+    """``term, title, target``: a term's page after up to two redirects, its
+    first letter being capital without any; disambiguation pages give nothing.
+
+    ``redirects(source, target)``, ``pages(title, target_title, disambiguation)``."""
+    hop = lambda n: redirects.select(F.col("source").alias(f"_s{n}"), F.col("target").alias(f"_t{n}"))
+    capital = F.concat(F.upper(F.substring("term", 1, 1)), F.substr("term", F.lit(2)))
+    one = terms.select("term").join(hop(1), F.col("term") == F.col("_s1"), "left").withColumn("_one", F.coalesce("_t1", capital))
+    two = one.join(hop(2), F.col("_one") == F.col("_s2"), "left").withColumn("title", F.coalesce("_t2", "_one"))
+    known = pages.where("not disambiguation and target_title is not null").select("title", F.col("target_title").alias("target"))
+    return two.join(known, "title").select("term", "title", "target")
 
 
 def missing_numbers(rows: DataFrame, by: str, number: str) -> DataFrame:
@@ -63,20 +162,35 @@ def coverage(rows: DataFrame, uses: DataFrame, key: str, excluded: Column) -> Da
 
 
 def checked_edits(rows: DataFrame, edits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Applies literal edits whose number of matches is as expected.
-
-    ``rows(page, pos, text)``, ``edits(seq, page, before, after, count)``.
-    Returns the edited rows (edits of a page in order of ``seq``) and a report
-    of every edit with its matches and whether it was applied.
-    """
-    hits = F.coalesce(F.expr("cast((length(text) - length(replace(text, before, ''))) / length(before) as bigint)"), F.lit(0))
-    met = edits.join(rows.select(F.col("page").alias("_page"), "text"), F.col("page") == F.col("_page"), "left")
-    report = met.groupBy("seq", "page", "before", "after", "count").agg(F.sum(hits).cast("long").alias("matches"))
-    report = report.withColumn("applied", F.col("matches") == F.col("count"))
-    chain = report.where("applied").groupBy(F.col("page").alias("_page")).agg(F.array_sort(F.collect_list(F.struct("seq", "before", "after"))).alias("chain"))
-    joined = rows.join(chain, F.col("page") == F.col("_page"), "left")
-    done = F.when(F.col("chain").isNull(), F.col("text")).otherwise(F.aggregate("chain", F.col("text"), lambda t, e: F.replace(t, e["before"], e["after"])))
-    return joined.select("page", "pos", done.alias("text")), report
+    """Applies edits to pages where they match as often as they say.
+
+    ``rows(page, pos, text)``, ``edits(seq, page, before, after, count)`` with
+    optional ``whole_word``, ``exact_row``, ``prefix`` and ``suffix`` (booleans,
+    as in :func:`text.edit_pattern`).  A page's edits are made in order of
+    ``seq``, each counted on what the ones before it left; one that does not
+    match is skipped.  Returns the edited rows and a report of every edit."""
+    flag = lambda n: F.coalesce(F.col(n), F.lit(False)) if n in edits.columns else F.lit(False)
+    plain = X.edit_pattern(F.col("before"))
+    whole = F.when(flag("exact_row"), X.edit_pattern(F.col("before"), exact_row=True)).when(flag("whole_word"), X.edit_pattern(F.col("before"), whole_word=True)).otherwise(plain)
+    pattern = F.concat(F.when(flag("prefix"), r"\A").otherwise(""), whole, F.when(flag("suffix"), r"\z").otherwise(""))
+    literal = F.replace(F.replace(F.col("after"), F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+    steps = edits.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("seq", F.col("count").cast("long").alias("count"), pattern.alias("p"), literal.alias("r")))).alias("steps"))
+    pages = rows.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("rows"))
+    joined = steps.join(pages, "page", "left")
+    texts = F.coalesce(F.transform("rows", lambda r: r["text"]), F.array().cast("array<string>"))
+    none = F.array().cast("array<struct<seq:int,matches:bigint>>")
+
+    def step(state: Column, edit: Column) -> Column:
+        n = F.aggregate(F.transform(state["t"], lambda t: F.regexp_count(t, edit["p"]).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x)
+        made = F.when(n == edit["count"], F.transform(state["t"], lambda t: F.regexp_replace(t, edit["p"], edit["r"]))).otherwise(state["t"])
+        return F.struct(made.alias("t"), F.concat(state["n"], F.array(F.struct(edit["seq"].cast("int").alias("seq"), n.alias("matches")))).alias("n"))
+
+    done = joined.withColumn("_d", F.aggregate("steps", F.struct(texts.alias("t"), none.alias("n")), step))
+    made = done.where("rows is not null").select("page", F.explode(F.arrays_zip(F.transform("rows", lambda r: r["pos"]).alias("pos"), F.col("_d.t").alias("text"))).alias("r")).select("page", "r.pos", "r.text")
+    counts = done.select(F.col("page").alias("_page"), F.explode("_d.n").alias("n")).select("_page", F.col("n.seq").alias("_seq"), "n.matches")
+    report = edits.join(counts, (F.col("page") == F.col("_page")) & (F.col("seq") == F.col("_seq"))).drop("_page", "_seq").withColumn("applied", F.col("matches") == F.col("count"))
+    rest = rows.select("page", "pos", "text").join(steps.select("page"), "page", "left_anti")
+    return rest.unionByName(made), report
 
 
 def conflicts(spans: DataFrame, by: str) -> DataFrame:
@@ -86,24 +200,48 @@ def conflicts(spans: DataFrame, by: str) -> DataFrame:
 
 
 def merged(first: DataFrame, second: DataFrame, key: list[str]) -> DataFrame:
-    """Two ranked suggestion lists: generators united, the first's rank ahead."""
-    b = second.select(*[F.col(k).alias(f"_{k}") for k in key], F.col("rank").alias("_rank"), F.col("generators").alias("_generators"))
+    """Two ranked suggestion lists: generators united, and evidence where both
+    have it; the first's rank goes ahead."""
+    lists = [c for c in ("generators", "evidence") if c in first.columns and c in second.columns]
+    b = second.select(*[F.col(k).alias(f"_{k}") for k in key], F.col("rank").alias("_rank"), *[F.col(c).alias(f"_{c}") for c in lists])
     same = reduce(Column.__and__, [F.col(k) == F.col(f"_{k}") for k in key])
     joined = first.join(b, same, "full_outer")
     empty = F.array().cast("array<string>")
     return joined.select(
         *[F.coalesce(k, f"_{k}").alias(k) for k in key],
-        F.array_sort(F.array_union(F.coalesce("generators", empty), F.coalesce("_generators", empty))).alias("generators"),
+        *[F.array_sort(F.array_union(F.coalesce(c, empty), F.coalesce(f"_{c}", empty))).alias(c) for c in lists],
         F.coalesce("rank", F.col("_rank") + 1000).alias("rank"),
     )
 
 
-def roots(links: DataFrame, node: str, parent: str, most: int = 32) -> DataFrame:
-    """Each node's root by pointer doubling; nodes on a cycle, or deeper than
-    2 ** rounds, have a null root.  Rounds stop when nothing moves."""
-    state = links.select(F.col(node).alias("node"), F.col(parent).alias("up"))
-    for _ in range(most.bit_length()):
-        above = state.select(F.col("node").alias("_n"), F.col("up").alias("_u"))
-        state = state.join(above, F.col("up") == F.col("_n"), "left").select("node", F.when(F.col("_n").isNull(), F.col("up")).otherwise(F.coalesce("_u", "up")).alias("up"))
-    top = links.where(F.col(parent).isNull()).select(F.col(node).alias("_top"))
-    return state.join(top, F.coalesce("up", "node") == F.col("_top"), "left").select("node", F.col("_top").alias("root"))
+def roots(links: DataFrame, node: str, parent: str) -> DataFrame:
+    """``node, root``: each node's root by pointer doubling, whatever the
+    depth; null for nodes that lead into a cycle or to an unknown parent.
+
+    A round doubles how far every pointer reaches, so it settles some node
+    while any that has a root is left; the first round that settles none ends
+    the iteration."""
+    state = settled(links.select(F.col(node).alias("node"), F.col(parent).alias("up"), F.when(F.col(parent).isNull(), F.col(node)).alias("root")))
+    done = -1
+    while (n := state.where("root is not null").count()) > done:
+        done = n
+        above = state.select(F.col("node").alias("_n"), F.col("up").alias("_up"), F.col("root").alias("_root"))
+        met = state.join(above, F.col("root").isNull() & (F.col("up") == F.col("_n")), "left")
+        state = settled(met.select("node", F.coalesce("_up", "up").alias("up"), F.coalesce("root", "_root").alias("root")))
+    return state.select("node", "root")
+
+
+def reached(starts: DataFrame, edges: DataFrame) -> DataFrame:
+    """``node``: everything that ``edges(source, target)`` lead to from
+    ``starts(node)``, those included; a round follows new nodes only."""
+    seen = front = settled(starts.select("node").distinct())
+    while not front.isEmpty():
+        ahead = edges.join(front, F.col("source") == F.col("node")).select(F.col("target").alias("node")).distinct()
+        front = settled(ahead.join(seen, "node", "left_anti"))
+        seen = settled(seen.unionByName(front))
+    return seen
+
+
+def unused(nodes: DataFrame, starts: DataFrame, edges: DataFrame) -> DataFrame:
+    """Nodes that nothing leads to from the starts."""
+    return nodes.select("node").join(reached(starts, edges), "node", "left_anti")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marginalia.functions import text as X
+from marginalia.functions.similarity import beta_quantile
 from marginalia.operators.windows import islands
 
 #: Centres closer than this are one row (share of the page's height).
@@ -65,11 +66,12 @@ def paragraphs(rows: DataFrame) -> DataFrame:
 
 
 def stitched(rows: DataFrame) -> DataFrame:
-    """Pages of a book with ``run``: a page goes on with the one before it if
-    that ends without closing punctuation."""
+    """``source, doc_id, run``: a page goes on with the one before it if that
+    ends without closing punctuation.  Only each page's last character travels."""
     w = Window.partitionBy("source").orderBy("doc_id")
-    goes_on = ~F.lag(F.rtrim("text")).over(w).rlike(r"[.!?]$")
-    return islands(rows.withColumn("_new", ~F.coalesce(goes_on, F.lit(False))), ["source"], ["doc_id"], F.col("_new"), "run").drop("_new")
+    last = rows.select("source", "doc_id", F.rtrim("text").rlike(r"[.!?]$").alias("_closed"))
+    goes_on = ~F.lag("_closed").over(w)
+    return islands(last.withColumn("_new", ~F.coalesce(goes_on, F.lit(False))), ["source"], ["doc_id"], F.col("_new"), "run").drop("_new", "_closed")
 
 
 def joined_lines(rows: DataFrame) -> DataFrame:
@@ -177,20 +179,95 @@ def clustered_margins(rows: DataFrame, by: str) -> DataFrame:
     return often.unionByName(_absorbed(counts.where("pages = 1"), seeds, by))
 
 
-def role(text: Column, y: Column, first: Column) -> Column:
-    """The first rule that fits says what a row is: ``kind/reason``."""
-    letters = X.letters_share(text, "Lu")
+def role(
+    text: Column,
+    y: Column,
+    first: Column,
+    *,
+    absorbed: Column | None = None,
+    excluded_page: Column | None = None,
+    in_figure: Column | None = None,
+    start: Column | None = None,
+    bottom: Column | None = None,
+    top: Column | None = None,
+    recurring: Column | None = None,
+    note_start: Column | None = None,
+) -> Column:
+    """``kind/reason`` of a row: the first rule that fits.  What a profile says
+    of the page (body start, cut-offs, note zone) and flags that joins have
+    made (:func:`repair.outside`, :func:`recurring_rows`) are columns."""
+    text = F.trim(text)
+    no = F.lit(False)
+    flag = lambda c: F.coalesce(c, no) if c is not None else no
+    at = lambda c, value: F.coalesce(c, F.lit(value)) if c is not None else F.lit(value)
     return (
-        F.when(first & (y < 0.27) & (F.length(text) < 60), "excluded/chapter-title")
-        .when(y > 0.96, "excluded/bottom")
-        .when(y < 0.035, "excluded/top")
-        .when((y < 0.10) & (letters > 0.8), "excluded/header")
-        .when((F.length(text) <= 4) & (y > 0.84), "excluded/folio")
-        .when((y >= 0.8) & text.rlike(r"^\s*\d{1,3}[.)]? "), "note/note-zone")
+        F.when(flag(absorbed), "excluded/represented-by-recovered-note")
+        .when(flag(excluded_page), "excluded/profile-excluded-page")
+        .when(flag(in_figure), "excluded/preserved-figure-region")
+        .when(first & (y < at(start, 0.27)), "excluded/chapter-title")
+        .when(y >= at(bottom, 2.0), "excluded/profile-bottom-margin")
+        .when(y < at(top, 0.035), "excluded/upper-margin-artifact")
+        .when(flag(recurring), "excluded/recurring-margin")
+        .when((y < 0.10) & F.coalesce(X.letters_share(text, "Lu") > 0.8, no), "excluded/uppercase-margin-fallback")
+        .when((F.length(text) <= 4) & (y > 0.84), "excluded/short-footer-fallback")
+        .when(y >= at(note_start, 2.0), "note/profile-note-region")
         .otherwise("body/retained")
     )
 
 
+def recurring_rows(rows: DataFrame, excluded: DataFrame, reach: float = 0.003) -> DataFrame:
+    """Rows that are excluded margin texts: same page and text, less than
+    ``reach`` apart.  Both have ``page, text, y``."""
+    e = excluded.select(F.col("page").alias("_page"), F.col("text").alias("_text"), F.col("y").alias("_y"))
+    same = (F.col("page") == F.col("_page")) & (F.col("text") == F.col("_text")) & (F.abs(F.col("y") - F.col("_y")) < reach)
+    return rows.join(e, same, "left_semi")
+
+
+def leaked_footers(rendered: DataFrame, footers: DataFrame) -> DataFrame:
+    """Rendered rows that were classified as footers: ``page, row, text``."""
+    return rendered.join(footers.select("page", "row").distinct(), ["page", "row"], "left_semi")
+
+
+def page_kind(page: Column, pages: Column, *, index: Column, figure: Column, note: Column, heads: Column) -> Column:
+    """index, figure, note, front or body; ``heads`` are the page's first five
+    rows, one of which may say that it is an index."""
+    said = F.exists(F.slice(heads, 1, 5), lambda t: t.rlike(r"(?i)\bindex\b"))
+    front = page <= F.least(F.lit(16), F.floor(pages / 10))
+    return F.when(index, "index").when(figure, "figure").when(note, "note").when(front, "front").when(F.coalesce(said, F.lit(False)), "index").otherwise("body")
+
+
+def margin_rows(rows: DataFrame) -> DataFrame:
+    """Rows that can be running heads: near the top, over four letters, most of
+    them capitals.  ``rows(page, y, text)``."""
+    letters = F.length(F.regexp_replace("text", r"[^\p{L}]", ""))
+    return rows.where((F.col("y") > 0.025) & (F.col("y") < 0.14) & (letters > 4) & (X.letters_share(F.col("text"), "Lu") >= 0.55))
+
+
+def running_heads(rows: DataFrame, by: str, least: int = 3) -> DataFrame:
+    """``by, seed, pages, median_y, mad_y, parity, posterior, low, high`` of a
+    book's recurring margin texts with their variants.
+
+    Rows further than max(0.1, 4 deviations) from the median place don't count;
+    the posterior is that of the rate among the pages of its span, of one parity
+    where nine tenths are.  ``rows(by, page, y, text)``."""
+    signed = rows.withColumn("signature", X.signature(F.col("text"))).where(F.col("signature") != "")
+    homes = clustered_margins(rows.select(by, "page", "text"), by).select(F.col(by).alias("_by"), F.col("signature").alias("_s"), "seed")
+    met = signed.join(homes, F.col(by).eqNullSafe(F.col("_by")) & (F.col("signature") == F.col("_s"))).drop("_by", "_s")
+    base = met.groupBy(F.col(by).alias("_b"), F.col("seed").alias("_seed")).agg(F.median("y").alias("med"), F.count_distinct("page").alias("_n")).where(F.col("_n") >= least)
+    placed = met.join(base, F.col(by).eqNullSafe(F.col("_b")) & (F.col("seed") == F.col("_seed")))
+    spread = placed.groupBy("_b", "_seed").agg(F.median(F.abs(F.col("y") - F.col("med"))).alias("mad")).select(F.col("_b").alias("_b2"), F.col("_seed").alias("_seed2"), "mad")
+    inside = placed.join(spread, F.col("_b").eqNullSafe(F.col("_b2")) & (F.col("_seed") == F.col("_seed2"))).where(F.abs(F.col("y") - F.col("med")) <= F.greatest(F.lit(0.1), 4 * F.col("mad")))
+    found = inside.groupBy(by, "seed", "med", "mad").agg(F.count_distinct("page").alias("pages"), F.min("page").alias("first"), F.max("page").alias("last"), F.count_distinct(F.when(F.col("page") % 2 == 1, F.col("page"))).alias("odd"))
+    parity = F.greatest(F.col("odd"), F.col("pages") - F.col("odd")) / F.col("pages")
+    chances = F.greatest(F.when(parity >= 0.9, F.floor((F.col("last") - F.col("first")) / 2) + 1).otherwise(F.col("last") - F.col("first") + 1), F.col("pages"))
+    known = found.withColumn("parity", parity).withColumn("_a", F.col("pages") + 1.0).withColumn("_z", chances - F.col("pages") + 1.0)
+    return known.select(
+        by, "seed", "pages", F.round("med", 6).alias("median_y"), F.round("mad", 6).alias("mad_y"), F.round("parity", 6).alias("parity"),
+        F.round(F.col("_a") / (F.col("_a") + F.col("_z")), 6).alias("posterior"),
+        F.round(beta_quantile(F.lit(0.025), "_a", "_z"), 4).alias("low"), F.round(beta_quantile(F.lit(0.975), "_a", "_z"), 4).alias("high"),
+    )
+
+
 def quote_runs(rows: DataFrame, inset: Column, by: list[str], order: str, least: int = 3) -> DataFrame:
     """Runs of at least ``least`` adjacent inset rows: first, last, rows."""
     w = Window.partitionBy(*by).orderBy(order)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginalia.functions import text as X
+
 
 def islands(rows: DataFrame, by: list[str], order: list[str], breaks: Column, name: str = "island") -> DataFrame:
     """Numbers runs of rows from 1; ``breaks`` is true where a run starts."""
@@ -44,12 +47,27 @@ def review_curve(rows: DataFrame, score: str, key: str, error: str, budgets: lis
     )
 
 
-def forward_split(rows: DataFrame, by: str, page: str) -> DataFrame:
-    """``seed``: whether the page is among the first fifth, one at least, of
-    the distinct pages of its group."""
-    pages = rows.select(by, page).distinct()
-    numbered = pages.withColumn("_k", F.row_number().over(Window.partitionBy(by).orderBy(page))).withColumn("_n", F.count("*").over(Window.partitionBy(by)))
-    marked = numbered.select(F.col(by).alias("_by"), F.col(page).alias("_page"), (F.col("_k") <= F.greatest(F.lit(1), F.expr("(_n + 4) div 5"))).alias("seed"))
+def ranked(rows: DataFrame, by: str, order: list[str], bucket: Column) -> DataFrame:
+    """``rows`` with ``_k``, their place from 1 in the order within ``by``, and
+    ``_n``, the number of rows there.
+
+    ``bucket`` cuts the order into ranges that grow with it; places are counted
+    within a range and moved by the sizes of the ranges before it, so a large
+    group is spread over its ranges."""
+    cut = rows.withColumn("_bucket", bucket)
+    sizes = cut.groupBy(F.col(by).alias("_by"), F.col("_bucket").alias("_b")).agg(F.count("*").alias("_size"))
+    ahead = Window.partitionBy("_by").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(ahead), F.lit(0))).withColumn("_n", F.sum("_size").over(Window.partitionBy("_by")))
+    placed = cut.withColumn("_place", F.row_number().over(Window.partitionBy(by, "_bucket").orderBy(*order)))
+    met = placed.join(sizes, F.col(by).eqNullSafe(F.col("_by")) & F.col("_bucket").eqNullSafe(F.col("_b")))
+    return met.withColumn("_k", F.col("_before") + F.col("_place")).drop("_bucket", "_b", "_by", "_size", "_before", "_place")
+
+
+def forward_split(rows: DataFrame, by: str, page: str, width: int = 65_536) -> DataFrame:
+    """``seed``: whether the page, a number, is among the first fifth, one at
+    least, of the distinct pages of its group."""
+    pages = ranked(rows.select(by, page).distinct(), by, [page], F.floor(F.col(page) / width))
+    marked = pages.select(F.col(by).alias("_by"), F.col(page).alias("_page"), (F.col("_k") <= F.greatest(F.lit(1), F.expr("(_n + 4) div 5"))).alias("seed"))
     return rows.join(marked, (F.col(by) == F.col("_by")) & (F.col(page) == F.col("_page"))).drop("_by", "_page")
 
 
@@ -61,41 +79,84 @@ def ranges(starts: DataFrame, by: str, start: str, last: Column) -> DataFrame:
 
 def recent(rows: DataFrame, by: str, order: str, size: Column, limit: int) -> DataFrame:
     """How many earlier rows fit into a context of ``limit`` characters, most
-    recent first."""
+    recent first: those from the first place on that is at most ``limit``
+    before this one, by a range frame over the running size."""
     w = Window.partitionBy(by).orderBy(order)
-    cumulative = F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    upto = rows.withColumn("_upto", cumulative).withColumn("_size", size)
-    history = F.collect_list("_upto").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    ready = upto.withColumn("_history", history).withColumn("_base", F.col("_upto") - F.col("_size"))
-    # base - (upto before row k) is the size of the rows after k
-    fits = F.size(F.filter(F.concat(F.array(F.lit(0).cast("long")), F.col("_history")), lambda u: F.col("_base") - u <= limit)) - 1
-    return ready.withColumn("context_rows", F.least(fits, F.size("_history"))).drop("_upto", "_size", "_history", "_base")
+    placed = rows.withColumn("_at", F.coalesce(F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")).withColumn("_k", F.row_number().over(w))
+    frame = Window.partitionBy(by).orderBy("_at").rangeBetween(-limit, 0)
+    return placed.withColumn("context_rows", (F.col("_k") - F.min("_k").over(frame)).cast("int")).drop("_at", "_k")
 
 
-def neighbours(tokens: DataFrame) -> DataFrame:
-    """The words before and after each word of a line; null at a full stop."""
-    w = Window.partitionBy("doc_id", "pos").orderBy("idx")
-    return tokens.withColumn("before", F.lag("term").over(w)).withColumn("after", F.lead("term").over(w))
+def neighbours(lines: DataFrame) -> DataFrame:
+    """``doc_id, pos, sentence, idx, term, before, after``: each word of a line
+    with the words beside it, null across a sentence mark."""
+    cut = lines.select("doc_id", "pos", F.posexplode(F.split("line", "[.!?;]")).alias("sentence", "part"))
+    words = cut.select("doc_id", "pos", "sentence", F.posexplode(X.tokens(F.lower("part"))).alias("idx", "term"))
+    w = Window.partitionBy("doc_id", "pos", "sentence").orderBy("idx")
+    return words.withColumn("before", F.lag("term").over(w)).withColumn("after", F.lead("term").over(w))
 
 
-def stratified(rows: DataFrame, by: str, order: str) -> DataFrame:
-    """First, middle (n div 2) and last row of each class."""
-    w = Window.partitionBy(by)
-    numbered = rows.withColumn("_k", F.row_number().over(w.orderBy(order))).withColumn("_n", F.count("*").over(w))
+def stratified(rows: DataFrame, by: str, order: str, width: int = 65_536) -> DataFrame:
+    """First, middle (n div 2) and last row of each class, by a number."""
+    numbered = ranked(rows, by, [order], F.floor(F.col(order) / width))
     return numbered.where("_k = 1 or _k = _n div 2 + 1 or _k = _n").drop("_k", "_n")
 
 
-def greedy_chunks(rows: DataFrame, by: str, order: str, size: Column, limit: int) -> DataFrame:
-    """Packs rows in order into chunks of at most ``limit``; a longer row is
-    a chunk of its own."""
-    packed = rows.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), size.cast("long").alias("s")))).alias("r"))
-    zero = F.struct(F.array().cast("array<struct<o:bigint,chunk:bigint>>").alias("out"), F.lit(0).cast("long").alias("chunk"), F.lit(0).cast("long").alias("used"))
+def greedy_chunks(rows: DataFrame, by: str, order: str, size: Column, limit: int, most: int | None = None) -> DataFrame:
+    """Packs rows in order into chunks of at most ``limit``, and of at most
+    ``most`` rows; a longer row is a chunk of its own.  Only sizes are
+    gathered."""
+
+    @F.pandas_udf("array<bigint>")
+    def chunks(sizes: pd.Series) -> pd.Series:
+        def one(values) -> list[int]:
+            out, chunk, used, held = [], 0, 0, 0
+            for s in values:
+                if held and (used + s > limit or (most is not None and held >= most)):
+                    chunk, used, held = chunk + 1, 0, 0
+                used, held = used + s, held + 1
+                out.append(chunk)
+            return out
 
-    def step(a: Column, x: Column) -> Column:
-        new = (a["used"] > 0) & (a["used"] + x["s"] > limit)
-        chunk = a["chunk"] + F.when(new, 1).otherwise(0).cast("long")
-        used = F.when(new, x["s"]).otherwise(a["used"] + x["s"])
-        return F.struct(F.concat(a["out"], F.array(F.struct(x["o"].cast("long").alias("o"), chunk.alias("chunk")))).alias("out"), chunk.alias("chunk"), used.alias("used"))
+        return sizes.map(one)
 
-    done = packed.select(by, F.explode(F.aggregate("r", zero, step)["out"]).alias("p"))
-    return done.select(by, F.col("p.o").alias(order), F.col("p.chunk").alias("chunk"))
+    packed = rows.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.coalesce(size, F.lit(0)).cast("long").alias("s")))).alias("r"))
+    numbered = packed.select(by, F.explode(F.arrays_zip(F.transform("r", lambda x: x["o"]).alias("o"), chunks(F.transform("r", lambda x: x["s"])).alias("c"))).alias("p"))
+    return numbered.select(by, F.col("p.o").alias(order), F.col("p.c").alias("chunk"))
+
+
+def queue_order(rows: DataFrame, flags: list[str], order: list[str], error: str, heads: list[int]) -> DataFrame:
+    """``reviewed, errors`` of a queue's first rows: rows with the flags come
+    first, flag by flag, then by ``order``."""
+    first = [F.desc(f) for f in flags] + [F.asc(c) for c in order]
+    top = rows.orderBy(*first).limit(max(heads)).select(F.col(error).cast("int").alias("e")).collect()
+    out = [(n, min(n, len(top)), sum(r.e for r in top[:n])) for n in heads]
+    return rows.sparkSession.createDataFrame(out, "head int, reviewed int, errors int")
+
+
+def hanging_lists(rows: DataFrame, by: str, order: str) -> DataFrame:
+    """``rows`` with ``item``: the number of the list item that a row starts or
+    goes on, null outside.  A row that starts with a mark or a number opens an
+    item; rows further in than it go on with it; others end it.
+    ``rows(text, x0)``."""
+    w = Window.partitionBy(by).orderBy(order)
+    opens = F.col("text").rlike(r"^\s*(?:[•*–-]|\d{1,3}[.)])\s")
+    marked = rows.withColumn("_opens", opens).withColumn("_left", F.last(F.when(opens, F.col("x0")), True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    inside = F.col("_opens") | (F.col("_left").isNotNull() & (F.col("x0") > F.col("_left")))
+    runs = marked.withColumn("_in", inside).withColumn("_run", F.sum(F.when(inside, 0).otherwise(1)).over(w))
+    number = F.sum(F.col("_opens").cast("int")).over(w)
+    begun = F.max(F.col("_opens").cast("int")).over(Window.partitionBy(by, "_run").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    return runs.withColumn("item", F.when(F.col("_in") & (begun == 1), number).cast("long")).drop("_opens", "_left", "_in", "_run")
+
+
+def first_of_each(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key in an order; equal orders are one row."""
+    return rows.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("_k = 1").drop("_k")
+
+
+def triage(rows: DataFrame, by: str) -> DataFrame:
+    """``rows`` with ``rank``, their place in a book's review: rows on which
+    three readings agree, then two, then the others, each by page and place.
+    ``rows(tier, page, y0)``."""
+    tier = F.when(F.col("tier") == "three-peer-consensus", 0).when(F.col("tier") == "fresh-peer-consensus", 1).otherwise(2)
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(tier, "page", "y0")))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from marginalia.plans import pages, relations, texts
+from marginalia.plans import exchange, geometry, pages, relations, review, scalars, texts
 
-QUERIES = texts.QUERIES | relations.QUERIES | pages.QUERIES
-ORACLE_SQL = texts.SQL | relations.SQL | pages.SQL
+_PARTS = (texts, relations, pages, scalars, geometry, review, exchange)
+QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+ORACLE_SQL = {name: sql for part in _PARTS for name, sql in part.SQL.items()}
 FLAGSHIP = "review_queue"

@@ -59,41 +59,8 @@ def figure_mask(spark, folder):
     return repair.outside(T.geometry(T.lines(docs)), figures, "doc_id").select("doc_id", "pos")
 
 
-@query(
-    "f8_page_labels",
-    f"""WITH {_GEO} SELECT doc_id, pos, trim(line) AS label FROM geo WHERE (y0 > 0.88 OR y0 < 0.075) AND (regexp_matches(trim(line), '^[0-9]{{1,4}}$') OR regexp_matches(trim(line), '^[ivxlcdmIVXLCDM]{{1,8}}$'))""",
-)
-def page_labels(spark, folder):
-    return repair.page_labels(T.geometry(T.lines(_docs(spark, folder)))).select("doc_id", "pos", F.trim("line").alias("label"))
 
 
-@query(
-    "f9_headings",
-    f"""WITH {_GEO} SELECT doc_id, pos FROM geo WHERE y0 > 0.07 AND y0 < 0.55 AND length(line) BETWEEN 3 AND 85 AND (regexp_matches(line, '^(?i)(chapter|part|book|section)\\b') OR regexp_matches(line, '^[IVXLC]+[. ]')
-    OR (upper(line) = line AND length(regexp_replace(line, '[^\\p{{L}}]', '', 'g')) >= 5))""",
-)
-def headings(spark, folder):
-    return T.geometry(T.lines(_docs(spark, folder))).where(repair.heading(F.col("line"), F.col("y0"))).select("doc_id", "pos")
-
-
-@query(
-    "m7_seams",
-    f"""WITH {STATS}, k AS (SELECT term FROM stats WHERE page_df >= 3), w AS (SELECT doc_id, pos, regexp_extract_all(lower(line), '\\p{{L}}+(?:[''’-]\\p{{L}}+)*') AS t FROM lines),
-    n AS (SELECT doc_id, pos, t, lead(t) OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM w), e AS (SELECT doc_id, pos, t[-1] AS a, n[1] AS b FROM n WHERE len(t) > 0 AND len(n) > 0)
-    SELECT doc_id, pos, a, b, a || b AS joined FROM e WHERE a NOT IN (SELECT term FROM k) AND b NOT IN (SELECT term FROM k) AND a || b IN (SELECT term FROM k)""",
-)
-def seams(spark, folder):
-    docs = _docs(spark, folder)
-    return repair.seams(T.lines(docs), _stats(spark, folder).where("page_df >= 3"))
-
-
-@query(
-    "m12_case",
-    f"""WITH {STATS} SELECT doc_id, pos, idx, form, term AS repaired FROM tokens WHERE regexp_matches(form, '^\\p{{L}}*\\p{{Ll}}\\p{{Lu}}\\p{{L}}*$') AND term IN (SELECT term FROM stats WHERE page_df >= 2)""",
-)
-def case_repairs(spark, folder):
-    docs = _docs(spark, folder)
-    return repair.case_repairs(T.tokens(docs), _stats(spark, folder).where("page_df >= 2"))
 
 
 @query(
@@ -118,37 +85,6 @@ def generators(spark, folder):
     return repair.contributions(_docs(spark, folder).select(F.col("doc_id").alias("id"), found.alias("generators")))
 
 
-@query(
-    "k7_worst_share",
-    """SELECT source, doc_id, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars, doc_id) AS k, count(*) OVER (PARTITION BY source) AS n FROM documents) WHERE k <= greatest(1, floor(n * 0.1))""",
-)
-def worst_share(spark, folder):
-    return repair.worst_share(_docs(spark, folder).select("source", "doc_id", "n_chars"), "source", [F.asc("n_chars"), F.asc("doc_id")], 0.1)
-
-
-@query(
-    "j18_note_links",
-    """WITH c AS (SELECT l_orderkey, l_linenumber, count(*) AS calls, min(l_partkey) AS call_id FROM lineitem GROUP BY 1, 2), n AS (SELECT o_orderkey, unnest([1, 2, 3]) AS number FROM orders)
-    SELECT o_orderkey, number, CASE WHEN calls IS NULL THEN 'no-call' WHEN calls > 1 THEN 'ambiguous' ELSE 'linked' END AS reason, CASE WHEN calls = 1 THEN call_id END AS call_id FROM n LEFT JOIN c ON o_orderkey = l_orderkey AND number = l_linenumber""",
-)
-def note_links(spark, folder):
-    notes = T.table(spark, folder, "orders").select("o_orderkey", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("number"))
-    calls = T.table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").cast("int").alias("number"), F.col("l_partkey").alias("call_id"))
-    return repair.linked(notes, calls, ["o_orderkey", "number"]).select("o_orderkey", "number", "reason", "call_id")
-
-
-@query(
-    "j3_unique_match",
-    """WITH m AS (SELECT a.event_id, b.event_id AS other FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_id <> b.event_id AND abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 600000000)
-    SELECT event_id, min(other) AS match_id FROM m GROUP BY 1 HAVING count(*) = 1""",
-)
-def unique_match(spark, folder):
-    e = T.table(spark, folder, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
-    reach = 600_000_000
-    a = e.withColumn("b", F.expr(f"t div {reach}"))
-    other = e.select(F.col("event_id").alias("other"), F.col("user_id").alias("u"), F.col("t").alias("s"), F.explode(F.array(*[F.expr(f"t div {reach} + {k}") for k in (-1, 0, 1)])).alias("c"))
-    met = a.join(other, (F.col("user_id") == F.col("u")) & (F.col("b") == F.col("c")) & (F.col("event_id") != F.col("other")) & (F.abs(F.col("t") - F.col("s")) <= reach))
-    return met.groupBy("event_id").agg(F.count("*").alias("n"), F.min("other").alias("match_id")).where("n = 1").drop("n")
 
 
 @query(
@@ -183,11 +119,6 @@ def confusable(spark, folder):
     return lexicon.one_edit_pairs(pool, pool).where(X.confusable(F.col("term"), F.col("suggestion"))).select("term", "suggestion")
 
 
-@query("t16_quotes")
-def quotes(spark, folder):
-    done = repair.pair_quotes(F.replace("line", F.lit("!!"), F.lit('"')))
-    return T.lines(_docs(spark, folder)).select("doc_id", "pos", done.alias("q")).select("doc_id", "pos", "q.text", "q.orphans")
-
 
 @query(
     "t17_spread",

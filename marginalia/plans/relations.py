@@ -70,17 +70,6 @@ def coverage(spark, folder):
 _EDITS = [(1, "src0", "The ", "THE ", 0), (2, "src1", "ion.", "ION.", 12), (3, "src2", "qzx", "none", 0), (4, "src3", "\n", " ", 1)]
 
 
-@query(
-    "j9_overlay",
-    """WITH e(seq, page, before, "after", n) AS (VALUES (1, 'src0', 'The ', 'THE ', 0), (2, 'src1', 'ion.', 'ION.', 12), (3, 'src2', 'qzx', 'none', 0), (4, 'src3', chr(10), ' ', 1)),
-    m AS (SELECT seq, page, before, "after", n, coalesce(sum((length(text) - length(replace(text, before, ''))) // length(before)), 0)::BIGINT AS matches FROM e LEFT JOIN documents d ON d.source = e.page GROUP BY 1, 2, 3, 4, 5)
-    SELECT seq, page, before, "after", n AS count, matches, matches = n AS applied FROM m""",
-)
-def overlay(spark, folder):
-    edits = spark.createDataFrame(_EDITS, "seq int, page string, before string, after string, count int")
-    rows = T.table(spark, folder, "documents").select(F.col("source").alias("page"), F.col("doc_id").alias("pos"), "text")
-    return joins.checked_edits(rows, edits)[1]
-
 
 @query(
     "j10_binding",
@@ -129,13 +118,6 @@ def roots(spark, folder):
     return joins.roots(links, "node", "up")
 
 
-@query(
-    "j21_reach",
-    """SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)""",
-)
-def unreached(spark, folder):
-    return T.table(spark, folder, "part").select("p_partkey").join(T.table(spark, folder, "lineitem").select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_anti")
-
 
 @query(
     "a4_detection",
@@ -149,25 +131,6 @@ def detection(spark, folder):
     return evaluation.detection(rows, "lang", F.col("quality") == 0, F.col("n_chars") < 400)
 
 
-@query(
-    "a7_cer",
-    r"""WITH b AS (SELECT item_id % 4 AS g, translate(text, 'lO', '10') AS before, text AS truth, translate(text, 'O', '0') AS output FROM benchmark WHERE NOT regexp_matches(text, '[^\x00-\x7F]')),
-    t AS (SELECT g, sum(length(truth))::BIGINT AS characters, sum(levenshtein(before, truth))::BIGINT AS eb, sum(levenshtein(output, truth))::BIGINT AS ea FROM b GROUP BY 1)
-    SELECT g, characters, eb AS edits_before, ea AS edits_after, round(eb / characters::DOUBLE, 6) AS cer_before, round(ea / characters::DOUBLE, 6) AS cer_after, round((eb - ea) / nullif(eb, 0)::DOUBLE, 6) AS reduction FROM t""",
-)
-def cer(spark, folder):
-    rows = T.table(spark, folder, "benchmark")  # the SQL twin counts bytes and takes ASCII items only
-    pages = rows.select((F.col("item_id") % 4).alias("g"), F.translate("text", "lO", "10").alias("before"), F.col("text").alias("truth"), F.translate("text", "O", "0").alias("output"))
-    return evaluation.character_errors(pages, "g")
-
-
-@query("a7_wer")
-def wer(spark, folder):
-    from marginalia.functions.similarity import word_edits
-
-    rows = T.table(spark, folder, "benchmark").select("item_id", "text", F.regexp_replace("text", "th(?=[aeiou])", "tb").alias("read"))
-    return rows.select("item_id", word_edits(F.col("read"), F.col("text")).alias("edits"), F.size(X.space_tokens(F.col("text"))).alias("words"))
-
 
 @query(
     "a8_by_group",
@@ -178,17 +141,6 @@ def by_group(spark, folder):
     return docs.groupingSets([["source"], ["lang"], []], "source", "lang").agg(F.count("*").alias("docs"), F.sum("n_chars").alias("chars"))
 
 
-@query(
-    "a11_mode_offset",
-    """WITH l AS (SELECT lang, doc_id, doc_id % 7 - len(string_split(text, chr(10))) % 7 AS o FROM documents), c AS (SELECT lang, o, count(DISTINCT doc_id) AS pages FROM l GROUP BY 1, 2)
-    SELECT lang, o AS "offset", pages FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY pages DESC, abs(o), o) AS k FROM c) WHERE k = 1""",
-)
-def mode_offset(spark, folder):
-    rows = T.table(spark, folder, "documents").select("lang", "doc_id", (F.col("doc_id") % 7 - F.size(F.split("text", "\n")) % 7).alias("offset"))
-    counts = rows.groupBy("lang", "offset").agg(F.count_distinct("doc_id").alias("pages"))
-    best = counts.groupBy("lang").agg(F.min(F.struct(-F.col("pages"), F.abs("offset"), "offset", F.col("pages").alias("n"))).alias("b"))
-    return best.select("lang", "b.offset", F.col("b.n").alias("pages"))
-
 
 @query(
     "w13_review_curve",
@@ -240,23 +192,8 @@ def review_sessions(spark, folder):
     ).select("user_id", "sessions", F.col("errors"), "median_events", "errors_per_minute")
 
 
-@query("a28_bootstrap")
-def bootstrap(spark, folder):
-    rows = T.table(spark, folder, "labels").join(T.table(spark, folder, "documents").select("doc_id", "source"), "doc_id")
-    return evaluation.bootstrap(rows, "source", "doc_id", "quality", replicates=1000)
-
-
-@query("q1_align")
-def alignment(spark, folder):
-    rows = T.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("int").alias("position"), F.when(F.col("l_quantity") > 25, 6.0).otherwise(3.0).alias("weight"))
-    return sequence.aligned(rows, "l_orderkey", "position", "l_linenumber", "weight")
 
 
-@query("q3_anchors")
-def anchors(spark, folder):
-    rows = T.table(spark, folder, "lineitem").select("l_orderkey", F.col("l_partkey").alias("place"), "l_linenumber")
-    return sequence.trusted_anchors(rows, "l_orderkey", "place", "l_linenumber")
-
 
 @query(
     "isbn_check",
@@ -270,11 +207,6 @@ def isbn(spark, folder):
     return T.table(spark, folder, "part").select("p_partkey", X.isbn13_check(F.concat(F.lit("978"), body)).alias("isbn13"), X.isbn10_check(body).alias("isbn10"))
 
 
-@query("m16_ridge")
-def ridge_fit(spark, folder):
-    rows = T.table(spark, folder, "embeddings").select(F.col("label").cast("double").alias("y"), *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(8)])
-    return ridge(rows, "y", [f"x{i}" for i in range(8)], 1.0)
-
 
 _STAR = {
     "rel_inner_join": "SELECT n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1",
@@ -282,11 +214,11 @@ _STAR = {
     "rel_right_join": "SELECT n_name, count(s_suppkey) AS suppliers FROM supplier RIGHT JOIN nation ON s_nationkey = n_nationkey GROUP BY 1",
     "rel_full_join": "SELECT coalesce(c_nationkey, s_nationkey) AS k, any_c, any_s FROM (SELECT c_nationkey, count(*) AS any_c FROM customer WHERE c_acctbal > 9000 GROUP BY 1) FULL JOIN (SELECT s_nationkey, count(*) AS any_s FROM supplier GROUP BY 1) ON c_nationkey = s_nationkey",
     "rel_semi_join": "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')",
-    "rel_anti_join": "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
+    "rel_anti_join": "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)",
     "rel_range_join": "SELECT l_orderkey, l_linenumber, count(*) AS later FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND l_shipdate > o_orderdate GROUP BY 1, 2",
     "rel_union": "SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier",
     "rel_intersect": "SELECT l_partkey AS k FROM lineitem INTERSECT SELECT p_partkey FROM part",
-    "rel_except": "SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey FROM lineitem",
+    "rel_except": "SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 45",
     "rel_cube": "SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS qty FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)",
     "rel_rollup": "SELECT r_name, n_name, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)",
     "rel_rank": "SELECT o_custkey, o_orderkey, rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS r, dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS d FROM orders",
@@ -361,13 +293,6 @@ def quantiles(spark, folder):
     return T.table(spark, folder, "events").groupBy("event_type").agg(F.median("value").alias("med"), F.percentile("value", 0.25).alias("q1"), F.percentile("value", 0.75).alias("q3"))
 
 
-@query(
-    "a12_offset_runs",
-    "SELECT l_linenumber - l_suppkey % 5 AS o, count(DISTINCT l_orderkey) AS pages FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_orderkey) >= 3",
-)
-def offset_runs(spark, folder):
-    return T.table(spark, folder, "lineitem").groupBy((F.col("l_linenumber") - F.col("l_suppkey") % 5).alias("o")).agg(F.count_distinct("l_orderkey").alias("pages")).where("pages >= 3")
-
 
 @query(
     "a24_shares",

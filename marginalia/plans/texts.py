@@ -151,11 +151,6 @@ def transition(spark, folder):
     return lexicon.transitions(statistics.grams(tokens, ["doc_id", "pos"], "idx"), zipf)
 
 
-@query("m3_trigram_topk")
-def trigram_topk(spark, folder):
-    words = T.table(spark, folder, "benchmark").select(F.explode(X.tokens(F.lower("text"))).alias("word")).distinct()
-    return lexicon.trigram_candidates(words, _stats(spark, folder))
-
 
 @query(
     "m4_leave_one_out",
@@ -184,14 +179,6 @@ def digit_in_word(spark, folder):
     return T.lines(_docs(spark, folder)).select("doc_id", "pos", F.explode(found).alias("hit"))
 
 
-@query(
-    "f7_repeated_word",
-    f"""WITH {TOKENS}, n AS (SELECT *, lead(term) OVER (PARTITION BY doc_id, pos ORDER BY idx) AS nx FROM tokens)
-    SELECT doc_id, pos, idx, term FROM n WHERE nx = term AND length(term) >= 2""",
-)
-def repeated_word(spark, folder):
-    return windows.neighbours(T.tokens(_docs(spark, folder))).where("after = term and length(term) >= 2").select("doc_id", "pos", "idx", "term")
-
 
 @query(
     "t9_signatures",
@@ -203,11 +190,6 @@ def signatures(spark, folder):
     return rows.groupBy("signature").agg(F.count_distinct("doc_id").alias("pages"), F.count("*").alias("rows")).where("pages >= 3")
 
 
-@query("m14_headers")
-def headers(spark, folder):
-    rows = T.geometry(T.lines(_docs(spark, folder))).select(F.col("doc_id").alias("page"), F.col("y0").alias("y"), F.col("line").alias("text"))
-    return layout.margins(rows)
-
 
 @query("m14_clusters")
 def clusters(spark, folder):
@@ -333,21 +315,6 @@ def attested(spark, folder):
     return reconcile.attested(T.tokens(docs), docs.select("doc_id", F.sha2("text", 256).alias("group_id")))
 
 
-@query("m11_reconcile")
-def reconciled(spark, folder):
-    return reconcile.reconciled(_readings(_docs(spark, folder)), ["embedded", "vision", "rapid"]).where("size(kinds) > 0")
-
-
-@query("m9_changes")
-def changes(spark, folder):
-    return reconcile.changes(_readings(_docs(spark, folder)), "vision")
-
-
-@query("m10_splits")
-def splits(spark, folder):
-    rows = _readings(_docs(spark, folder)).withColumn("spaced", F.regexp_replace("text", r"\b(\p{L}{4})(\p{L}{4})\b", "$1 $2"))
-    return reconcile.changes(rows, "spaced").where("kind = 'split'")
-
 
 @query(
     "a6_correction",
@@ -424,13 +391,6 @@ def forward_split(spark, folder):
     return windows.forward_split(_docs(spark, folder).select("source", "doc_id"), "source", "doc_id").select("source", "doc_id", "seed")
 
 
-@query(
-    "w17_neighbours",
-    f"""WITH {TOKENS} SELECT doc_id, pos, idx, lag(term) OVER w AS before, lead(term) OVER w AS "after" FROM tokens WINDOW w AS (PARTITION BY doc_id, pos ORDER BY idx)""",
-)
-def neighbours(spark, folder):
-    return windows.neighbours(T.tokens(_docs(spark, folder))).select("doc_id", "pos", "idx", "before", "after")
-
 
 @query(
     "w18_context",
@@ -442,10 +402,6 @@ def context(spark, folder):
     return windows.recent(rows, "conv_id", "turn", F.length("text").cast("long"), 1500).select("conv_id", "turn", F.col("context_rows").cast("long").alias("context_rows"))
 
 
-@query("w20_chunks")
-def chunks(spark, folder):
-    return windows.greedy_chunks(T.table(spark, folder, "conversations"), "conv_id", "turn", F.length("text"), 4000)
-
 
 @query("w1_merge_rows")
 def merge_rows(spark, folder):
@@ -457,26 +413,12 @@ def merge_rows(spark, folder):
     return layout.merge_rows(pieces)
 
 
-@query(
-    "w10_quotes",
-    f"""WITH {LINES}, m AS (SELECT doc_id, pos, length(line) < 40 AS i, lag(length(line) < 40) OVER (PARTITION BY doc_id ORDER BY pos) AS p FROM lines),
-    r AS (SELECT doc_id, pos, i, sum(CASE WHEN p IS NULL OR p <> i THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM m)
-    SELECT doc_id, min(pos) AS "first", max(pos) AS "last", count(*) AS rows FROM r WHERE i GROUP BY doc_id, run HAVING count(*) >= 2""",
-)
-def quotes(spark, folder):
-    return layout.quote_runs(T.lines(_docs(spark, folder)).select("doc_id", "pos", "line"), F.length("line") < 40, ["doc_id"], "pos", 2)
-
-
-@query("f1_roles")
-def roles(spark, folder):
-    rows = T.geometry(T.lines(_docs(spark, folder)))
-    return rows.groupBy("source", layout.role(F.col("line"), F.col("y0"), F.col("pos") == 0).alias("role")).agg(F.count("*").alias("rows"))
 
 
 @query(
     "a14_theil_sen",
-    f"""WITH {LINES}, r AS (SELECT doc_id, pos AS x, length(line) AS y, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k, count(*) OVER (PARTITION BY doc_id) AS n FROM lines)
-    SELECT a.doc_id, round(median((b.y - a.y) / (b.x - a.x)::DOUBLE), 6) AS slope, count(*) AS pairs FROM r a JOIN r b ON a.doc_id = b.doc_id AND a.k < b.k AND (a.n <= 200 OR b.k = a.k + a.n // 2) GROUP BY 1""",
+    f"""WITH {LINES}, r AS (SELECT doc_id, pos AS x, length(line) AS y, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM lines)
+    SELECT a.doc_id, round(median((b.y - a.y) / (b.x - a.x)::DOUBLE), 6) AS slope, count(*) AS pairs FROM r a JOIN r b ON a.doc_id = b.doc_id AND a.k < b.k GROUP BY 1""",
 )
 def theil_sen(spark, folder):
     return statistics.theil_sen(T.lines(_docs(spark, folder)).withColumn("n", F.length("line")), "doc_id", "pos", "n")
@@ -505,57 +447,8 @@ def html_plain(spark, folder):
     return markup.paragraphs(T.table(spark, folder, "pages"))
 
 
-@query(
-    "h3_links",
-    r"""WITH p AS (SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) AS href, generate_subscripts(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1), 1) - 1 AS seq FROM pages)
-    SELECT page_id, seq, href FROM p""",
-)
-def html_links(spark, folder):
-    return markup.links(T.table(spark, folder, "pages"))
-
-
-@query(
-    "s15_link_check",
-    r"""WITH p AS (SELECT unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) AS href FROM pages)
-    SELECT href, count(*) AS uses FROM p WHERE href NOT IN (SELECT url FROM pages) GROUP BY 1""",
-)
-def link_check(spark, folder):
-    pages = T.table(spark, folder, "pages")
-    return markup.broken_links(pages, pages.select(F.col("url").alias("href")))
-
-
-@query("f15_citations")
-def citations(spark, folder):
-    return markup.apparatus(markup.blocks(T.table(spark, folder, "pages")))
-
-
-@query(
-    "f16_pair_flags",
-    f"""WITH {TURNS}, f AS (SELECT conv_id, turn, length(source) AS ls, length(target) / nullif(length(source), 0)::DOUBLE AS r,
-    len(regexp_extract_all(source, '[.!?](?:\\s|$)')) AS es, len(regexp_extract_all(target, '[.!?](?:\\s|$)')) AS et FROM turns)
-    SELECT conv_id, turn, array_to_string(list_filter([CASE WHEN ls >= 80 AND r < 0.8 THEN 'short' END, CASE WHEN ls >= 80 AND r > 1.8 THEN 'long' END,
-    CASE WHEN ls >= 80 AND et < es AND r < 0.9 THEN 'lost_sentence' END], lambda x: x IS NOT NULL), ',') AS flags FROM f""",
-)
-def pair_flags(spark, folder):
-    pairs = T.turns(T.table(spark, folder, "conversations"))
-    return pairs.select("conv_id", "turn", F.array_join(translation.flags(F.col("source"), F.col("target"), F.lit("en")), ",").alias("flags"))
-
-
-@query("f17_term_drift")
-def term_drift(spark, folder):
-    return translation.drift(T.turns(T.table(spark, folder, "conversations")), statistics.glossary(T.tokens(_docs(spark, folder))))
 
 
-@query(
-    "f16_glossary_lines",
-    f"""WITH {TOKENS}, {TURNS}, g AS (SELECT term FROM tokens GROUP BY term HAVING count(*) >= 3 AND count(*) FILTER (form = term) = 0 AND count(*) FILTER (idx > 0) > 0),
-    w AS (SELECT DISTINCT conv_id, turn, unnest(regexp_extract_all(lower(source), '\\p{{L}}+(?:[''’-]\\p{{L}}+)*')) AS term FROM turns)
-    SELECT conv_id, turn, string_agg(term, ' ' ORDER BY term) AS terms FROM w JOIN g USING (term) GROUP BY 1, 2""",
-)
-def glossary_lines(spark, folder):
-    found = translation.glossary_lines(T.turns(T.table(spark, folder, "conversations")), statistics.glossary(T.tokens(_docs(spark, folder))))
-    return found.withColumn("terms", F.array_join("terms", " "))
-
 
 @query(
     "u5_diff",
@@ -565,11 +458,3 @@ def glossary_lines(spark, folder):
 def term_diff(spark, folder):
     counts = T.tokens(_docs(spark, folder)).groupBy("term").agg(F.count_if(F.col("lang") == "en").alias("a"), F.count_if(F.col("lang") != "en").alias("b"))
     return markup.difference(counts.where("a > 0").select("term", F.col("a").alias("n")), counts.where("b > 0").select("term", F.col("b").alias("n")), "term", "n")
-
-
-@query(
-    "u6_snapshot",
-    """SELECT count(*) AS rows, sum(('0x' || substr(sha256(doc_id || chr(31) || text || chr(31) || lang || chr(31) || source || chr(31) || n_chars), 1, 8))::BIGINT)::BIGINT AS digest FROM documents""",
-)
-def snapshot(spark, folder):
-    return markup.snapshot(_docs(spark, folder), ["doc_id", "text", "lang", "source", "n_chars"])

@@ -51,3 +51,14 @@ def turns(conversations: DataFrame) -> DataFrame:
     order = Window.partitionBy("conv_id").orderBy("turn")
     ahead = conversations.select("conv_id", "turn", "role", F.col("text").alias("source"), F.lead("role").over(order).alias("next"), F.lead("text").over(order).alias("target"))
     return ahead.where("role = 'user' and next = 'assistant'").select("conv_id", "turn", "source", "target")
+
+
+def sheet(rows: DataFrame) -> DataFrame:
+    """Lines with a made-up place that fills the page; every third is inset."""
+    n = F.count("*").over(Window.partitionBy("doc_id"))
+    placed = rows.withColumn("n_lines", n).withColumn("x0", F.when(F.col("pos") % 3 == 2, 0.15).otherwise(0.1))
+    return (
+        placed.withColumn("y0", (F.col("pos") + 0.1) / F.col("n_lines"))
+        .withColumn("y1", (F.col("pos") + 0.6) / F.col("n_lines"))
+        .withColumn("x1", F.col("x0") + F.least(F.lit(0.75), F.length("line") / 100))
+    )

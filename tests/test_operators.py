@@ -6,8 +6,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from marginalia.operators import evaluation, joins, layout, lexicon, markup, reconcile, sequence, statistics, translation, windows
-from marginalia.operators.models import ridge
+from marginalia.operators import evaluation, joins, layout, lexicon, markup, models, reconcile, sequence, statistics, translation, windows
 
 
 def rows(df, *columns):
@@ -82,19 +81,21 @@ def test_character_errors_count_accented_items(spark, tmp_path):
 def test_bootstrap_repeats_and_covers_the_mean(spark):
     data = [(f"b{i % 6}", i, float(i % 3 == 0)) for i in range(300)]
     df = spark.createDataFrame(data, "book string, page int, v double")
-    one, two = (evaluation.bootstrap(df.repartition(n), "book", "page", "v").first() for n in (1, 4))
-    assert one == two and one.low < 1 / 3 < one.high and one.replicates == 200
+    values = {"v": (F.col("v"), F.lit(1.0)), "w": (F.col("v") / 2, F.lit(1.0)), "v - w": (F.lit(1), F.lit(1))}
+    one, two = (evaluation.bootstrap(df.repartition(n), "book", "page", values).collect() for n in (1, 4))
+    assert sorted(one) == sorted(two) and {r.replicates for r in one} <= set(range(980, 1001))
+    found = {r.metric: r for r in one}
+    assert found["v"].low < 1 / 3 < found["v"].high
+    # paired: the difference of a metric and its half is the half in every draw
+    assert abs(found["v - w"].low - found["w"].low) < 1e-9 and abs(found["v - w"].high - found["w"].high) < 1e-9
 
 
-def test_bootstrap_query_draws_1000_and_needs_two_books(spark, tmp_path):
-    from marginalia.plans import catalogue
-
-    spark.createDataFrame([(i, f"s{i % 3}") for i in range(60)], "doc_id long, source string").write.parquet(str(tmp_path / "documents.parquet"))
-    spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
-    got = catalogue.QUERIES["a28_bootstrap"](spark, str(tmp_path)).first()
-    assert 900 < got.replicates <= 1000 and got.low < 0.5 < got.high  # a replicate that draws no book has no mean
+def test_bootstrap_needs_two_books_and_a_hundred_draws(spark):
     one = spark.createDataFrame([("b", i, float(i)) for i in range(20)], "book string, page int, v double")
-    assert evaluation.bootstrap(one, "book", "page", "v").count() == 0
+    values = {"v": (F.col("v"), F.lit(1.0))}
+    assert evaluation.bootstrap(one, "book", "page", values).count() == 0
+    with pytest.raises(ValueError, match="hundred"):
+        evaluation.bootstrap(one, "book", "page", values, replicates=99)
 
 
 def test_nearest_against_brute_force(spark):
@@ -122,8 +123,18 @@ def test_checked_edits(spark):
     base = spark.createDataFrame([("p", 1, "a cat sat"), ("p", 2, "cat"), ("q", 1, "dog")], "page string, pos int, text string")
     edits = spark.createDataFrame([(1, "p", "cat", "cow", 2), (2, "p", "cow sat", "cow lay", 1), (3, "q", "cat", "x", 1), (4, "q", "dog", "fox", 1)], "seq int, page string, before string, after string, count int")
     done, report = joins.checked_edits(base, edits)
-    assert rows(report, "seq", "matches", "applied") == [(1, 2, True), (2, 0, False), (3, 0, False), (4, 1, True)]
-    assert rows(done) == [("p", 1, "a cow sat"), ("p", 2, "cow"), ("q", 1, "fox")]
+    # the second edit is counted on what the first one left
+    assert rows(report, "seq", "matches", "applied") == [(1, 2, True), (2, 1, True), (3, 0, False), (4, 1, True)]
+    assert rows(done) == [("p", 1, "a cow lay"), ("p", 2, "cow"), ("q", 1, "fox")]
+
+
+def test_checked_edits_by_pattern(spark):
+    base = spark.createDataFrame([(1, 1, "art cart $x"), (1, 2, "art"), (2, 1, "untouched")], "page int, pos int, text string")
+    schema = "seq int, page int, before string, after string, count int, whole_word boolean, exact_row boolean"
+    edits = spark.createDataFrame([(1, 1, "art", "a$1", 2, True, False), (2, 1, "a$1", "A\\\\", 1, False, True), (3, 1, "$x", "y", 1, False, False)], schema)
+    done, report = joins.checked_edits(base, edits)
+    assert rows(report, "seq", "matches") == [(1, 2), (2, 1), (3, 1)]
+    assert rows(done) == [(1, 1, "a$1 cart y"), (1, 2, "A\\\\"), (2, 1, "untouched")]
 
 
 def test_conflicts_and_intervals(spark):
@@ -134,9 +145,34 @@ def test_conflicts_and_intervals(spark):
 
 
 def test_roots_of_chains_and_cycles(spark):
-    links = [(i, i - 1 if i % 50 else None) for i in range(100)] + [(200, 201), (201, 200)]
+    links = [(i, i - 1 if i % 3000 else None) for i in range(6000)] + [(9000, 9001), (9001, 9000), (9002, 9001), (9100, 9999)]
     got = {r.node: r.root for r in joins.roots(spark.createDataFrame(links, "n int, p int"), "n", "p").collect()}
-    assert all(got[i] == i // 50 * 50 for i in range(100)) and got[200] is None and got[201] is None
+    assert all(got[i] == i // 3000 * 3000 for i in range(6000)) and {got[i] for i in (9000, 9001, 9002, 9100)} == {None}
+
+
+def test_unused_nodes_by_closure(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (5, 6), (6, 5)], "source int, target int")
+    nodes = spark.createDataFrame([(i,) for i in range(1, 8)], "node int")
+    assert rows(joins.unused(nodes, nodes.where("node = 1"), edges)) == [(4,), (5,), (6,), (7,)]
+
+
+def test_intervals_over_many_stretches(spark):
+    r = random.Random(9)
+    spans = [(i, r.randint(0, 1), a := r.randint(0, 300), a + r.randint(1, 90)) for i in range(60)]
+    df = spark.createDataFrame(spans, "i int, k int, start int, stop int")
+    pairs = lambda met: sorted((x.a, x.b) for x in met.select(F.col("a.i").alias("a"), F.col("b.i").alias("b")).collect())
+    wanted = sorted((x[0], y[0]) for x in spans for y in spans if x[1] == y[1] and y[3] > x[2] and y[2] < x[3])
+    assert pairs(joins.overlapping(df, df, "k", 16)) == wanted
+    inside = sorted((x[0], y[0]) for x in spans for y in spans if x[1] == y[1] and y[2] <= x[2] and y[3] >= x[3])
+    assert pairs(joins.within(df, df, "k", 16)) == inside
+
+
+def test_bound_decisions(spark):
+    schema = "id int, text_hash string, evidence_hash string, place double"
+    held = spark.createDataFrame([(1, "a", "x", 0.1), (2, "b", "x", 0.1), (3, "b", "y", 0.1), (4, "c", "x", 0.1), (5, "c", "x", 0.2), (6, "d", "x", 0.1), (7, "d", "x", 0.1)], schema).withColumnRenamed("id", "row_id")
+    asked = spark.createDataFrame([(1, "a", "old", 0.9), (2, "b", "y", 0.9), (3, "c", "x", 0.2), (4, "c", "z", 0.2), (5, "d", "x", 0.1), (6, "e", "x", 0.1)], schema).withColumnRenamed("id", "decision_id")
+    got = {r.decision_id: (r.row_id, r.reason) for r in joins.bound(asked, held).collect()}
+    assert got == {1: (1, "bound"), 2: (3, "bound"), 3: (5, "bound"), 4: (None, "evidence-changed"), 5: (None, "ambiguous-place"), 6: (None, "text-changed")}
 
 
 def test_merge_keeps_the_first_rank(spark):
@@ -198,6 +234,28 @@ def test_forward_split_and_recent(spark):
 def test_greedy_chunks(spark):
     df = spark.createDataFrame([(1, i, s) for i, s in enumerate([5, 5, 5, 30, 2, 2])], "k int, o int, s int")
     assert [r.chunk for r in windows.greedy_chunks(df, "k", "o", F.col("s"), 10).orderBy("o").collect()] == [0, 0, 1, 2, 3, 3]
+    assert [r.chunk for r in windows.greedy_chunks(df, "k", "o", F.col("s"), 100, 2).orderBy("o").collect()] == [0, 0, 1, 1, 2, 2]
+
+
+def test_places_by_ranges(spark):
+    r = random.Random(1)
+    data = [(r.choice("ab"), r.randint(0, 500), i) for i in range(300)]
+    got = windows.ranked(spark.createDataFrame(data, "k string, v int, i int"), "k", ["v", "i"], F.floor(F.col("v") / 37))
+    for k in "ab":
+        order = sorted((v, i) for g, v, i in data if g == k)
+        assert [(x.v, x.i) for x in got.where(F.col("k") == k).orderBy("_k").collect()] == order
+        assert {x._n for x in got.where(F.col("k") == k).collect()} == {len(order)}
+
+
+def test_hanging_lists(spark):
+    data = [(0, "text", 0.1), (1, "• one", 0.1), (2, "more", 0.15), (3, "• two", 0.1), (4, "end", 0.1), (5, "inset", 0.2), (6, "1. three", 0.1)]
+    got = windows.hanging_lists(spark.createDataFrame([(1, *d) for d in data], "p int, row int, text string, x0 double"), "p", "row")
+    assert [r.item for r in got.orderBy("row").collect()] == [None, 1, 1, 2, None, None, 3]
+
+
+def test_neighbours_stop_at_sentence_marks(spark):
+    got = windows.neighbours(spark.createDataFrame([(1, 0, "One two. Three; four")], "doc_id int, pos int, line string"))
+    assert {(r.term, r.before, r.after) for r in got.collect()} == {("one", None, "two"), ("two", "one", None), ("three", None, None), ("four", None, None)}
 
 
 def subsequences(values):
@@ -218,41 +276,67 @@ def test_trusted_anchors_against_brute_force():
         assert {i for i, ok in enumerate(sequence.trusted(values)) if ok} == subsequences(values)
 
 
+def test_trusted_anchors_within_the_maximum():
+    assert sequence.trusted([1, 9, 2, 0, 3], 5) == [True, False, True, False, True]
+    assert sequence.trusted([2, 1], 5) == [False, False]
+
+
 def test_alignment_against_brute_force():
     r = random.Random(5)
-    for _ in range(60):
-        nodes = [(r.randint(0, 5), r.randint(1, 5), float(r.choice([3, 6]))) for _ in range(r.randint(0, 6))]
+    for _ in range(120):
+        nodes = [sequence.Marker((r.randint(0, 5),), r.randint(1, 5), votes=r.randint(1, 2), anchor=r.random() < 0.2, cost=r.choice([0.0, 0.5])) for _ in range(r.randint(0, 6))]
 
-        def best(allowed):
+        def best(allowed, nodes=nodes):
             top = 0.0
             for n in range(1, len(allowed) + 1):
-                for c in combinations(sorted(allowed, key=lambda i: nodes[i]), n):
-                    if all(nodes[a][0] < nodes[b][0] and nodes[a][1] < nodes[b][1] for a, b in zip(c, c[1:], strict=False)):
-                        top = max(top, sum(nodes[i][2] for i in c) + sum(2 * (nodes[a][1] + 1 == nodes[b][1]) for a, b in zip(c, c[1:], strict=False)))
+                for c in combinations(sorted(allowed, key=lambda i: (nodes[i].position, nodes[i].number)), n):
+                    steps = list(zip(c, c[1:], strict=False))
+                    if all(nodes[a].leads_to(nodes[b]) for a, b in steps):
+                        top = max(top, sum(nodes[i].weight for i in c) + sum(2 * (nodes[a].number + 1 == nodes[b].number) for a, b in steps))
             return top
 
         every = list(range(len(nodes)))
-        for i, status in enumerate(sequence.align(nodes)):
+        for i, (status, whole, _) in enumerate(sequence.align(nodes)):
             worth = best(every) - best([j for j in every if j != i])
-            assert (status == "selected") == (worth >= 1)
-
-
-def test_equal_paths_abstain():
-    assert "selected" not in sequence.align([(1, 1, 3.0), (1, 2, 3.0)])
-
-
-def test_witness_rules(spark):
-    assert reconcile.repaired("the modem world", ["the modern world", "the modern world"]) == ("the modern world", ["two-witness-token"])
-    assert reconcile.repaired("the modem world", ["the modern world", "the modem world"]) == ("the modem world", [])
-    assert reconcile.repaired("*Well he said", ['"Well he said', '"Well he said'])[1] == ["two-fresh-quote-mark"]
-    assert reconcile.repaired("a\x01b", [])[1] == ["invalid-xml-ocr-character"]
-    assert reconcile.repaired("then-again he", ["then—again he", "then--again he"])[0] == "then—again he"
-    assert reconcile.anchored("he saw the modem art there", "he saw the modern art there") == [(3, 4, "modern")]
-    assert reconcile.anchored("modem", "modern") == []
-    assert reconcile.splits("he ranaway from home", "he ran away from home") == [(1, "ran away")]
-    assert reconcile.splits("he ranaway from home", "he run away from home") == []
-    df = spark.createDataFrame([("1", "a b", "a c", "a c", "a d")], "row_id string, text string, x string, y string, z string")
-    assert rows(reconcile.votes(df, ["x", "y", "z"]), "idx", "after", "votes") == [(1, "c", 2)]
+            assert whole == best(every)
+            assert (status == "selected") == (worth >= sequence.MARGIN)
+
+
+def test_one_neighbour_does_not_decide():
+    """Two places for 2 after a 1, one of them convenient."""
+    nodes = [sequence.Marker((1,), 1, anchor=True), sequence.Marker((2,), 2, votes=1), sequence.Marker((2,), 5, votes=1)]
+    assert [s for s, *_ in sequence.align(nodes)] == ["selected", "sequence-ambiguous", "sequence-ambiguous"]
+
+
+def test_collisions_and_blockers():
+    box = (0.0, 0.0, 1.0, 1.0)
+    same = [sequence.Marker((1, 1, 0), 1, candidate=0, box=box), sequence.Marker((1, 2, 0), 2, candidate=1, box=(0.1, 0.0, 1.1, 1.0)), sequence.Marker((1, 2, 0), 3, candidate=1)]
+    assert {s for s, *_ in sequence.align(same)} == {"source-position-conflict"}
+    blocked = [sequence.Marker((1,), 4, rejection="conflicting-glyph-reads"), sequence.Marker((2,), 4), sequence.Marker((3,), 5)]
+    assert [s for s, *_ in sequence.align(blocked)] == ["conflicting-glyph-reads", "competing-unverified-marker", "selected"]
+
+
+def test_selection_against_all_paths():
+    r = random.Random(6)
+    for _ in range(120):
+        options = [(c, r.randint(1, 6), r.randint(1, 2), 0.0) for c in range(r.randint(0, 4)) for _ in range(r.randint(1, 2))]
+        weight = [6.0 if o[2] >= 2 else 3.0 for o in options]
+        best, on = 0.0, set()
+        for n in range(1, len(options) + 1):
+            for c in combinations(range(len(options)), n):
+                steps = list(zip(c, c[1:], strict=False))
+                if all(options[a][0] < options[b][0] and options[a][1] < options[b][1] for a, b in steps):
+                    score = sum(weight[i] for i in c) + sum(2 * (options[a][1] + 1 == options[b][1]) for a, b in steps)
+                    if score > best:
+                        best, on = score, set()
+                    if score == best:
+                        on |= set(c)
+        only = {i for i in on if sum(options[j][0] == options[i][0] for j in on) == 1 and sum(options[j][1] == options[i][1] for j in on) == 1}
+        chosen = {options[i][1] for i in only}
+        got = sequence.select(options, 6)
+        for i, (_, number, votes, _) in enumerate(options):
+            alone = votes < 2 and not {number - 1, number + 1} & chosen
+            assert (got[i] == "selected") == (i in only and not alone) and (got[i] == "recognition-needs-neighbors") == (i in only and alone)
 
 
 def test_review_tiers(spark):
@@ -322,10 +406,102 @@ def test_translation_flags(spark):
     assert flags(long, "Short.") == ["short", "lost_sentence"]
     assert flags(long, long * 2) == ["long"]
     assert flags("a", "the cat and the dog of", "ru") == ["untranslated"]
-    assert flags("a", "Mосква") == ["mixed_script"]
+    assert flags("a", "in on as by is are for", "ru") == []  # not among the words that count
+    assert flags("a", "Mосква", "ru") == ["mixed_script"] and flags("a", "Mосква", "de") == []
+    assert flags("<b>" + long + "</b>", long) == []
+    assert flags("He left… “So it is.” " * 6, "Er ging und so. " * 6) == ["short", "lost_sentence"]
+
+
+def test_ridge_against_numpy(spark):
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    x, pool = r.normal(2, 3, (90, 3)), [f"p{i % 7}" for i in range(90)]
+    y = x @ [1.0, -2.0, 0.5] + 3 + r.normal(0, 0.1, 90)
+    df = spark.createDataFrame([(float(b), *map(float, a), p) for a, b, p in zip(x, y, pool, strict=True)], "y double, a double, b double, c double, pool string").repartition(4)
+    got = {row.feature: row for row in models.ridge(df, "y", ["a", "b", "c"], 1.0, "pool").collect()}
+    w = np.array([1 / pool.count(p) for p in pool])
+    design = np.column_stack([np.ones(90), (x - x.mean(axis=0)) / x.std(axis=0)])
+    wanted = np.linalg.solve(design.T @ (design * w[:, None]) + np.diag([0, 1, 1, 1]), design.T @ (y * w))
+    assert np.allclose([got[n].weight for n in ("intercept", "a", "b", "c")], wanted, atol=1e-6)
+    assert np.allclose([got[n].scale for n in "abc"], x.std(axis=0), atol=1e-6)
 
 
-def test_ridge_recovers_a_line(spark):
-    data = [(float(2 * i + 1), float(i)) for i in range(50)]
-    got = {r.feature: r.weight for r in ridge(spark.createDataFrame(data, "y double, x double"), "y", ["x"], 1e-6).collect()}
-    assert abs(got["x"] - 2) < 1e-4 and abs(got["intercept"] - 1) < 1e-3
+def test_leave_one_out_abstains(spark):
+    """A model of other books proposes only beyond every wrong training lead."""
+    data = [(f"b{i % 3}", i, float(k == 0), float(k == 0) + (i % 5) / 100, 1.0) for i in range(60) for k in range(3)]
+    got = models.leave_one_out(spark.createDataFrame(data, "book string, unit int, y double, f double, g double"), "book", "y", ["f", "g"], unit="unit")
+    assert got.count() == 60 and all(r.proposed and r.target == 1 for r in got.collect())
+
+
+def test_error_model(spark):
+    pairs = spark.createDataFrame([("tbe", "the"), ("tbe", "the"), ("batb", "bath"), ("x", "x")], "observed string, target string")
+    got = {(r.target, r.observed): r for r in statistics.error_model(pairs).collect()}
+    assert set(got) == {("h", "b")} and (got["h", "b"]["count"], got["h", "b"].opportunities) == (2, 2)
+    import math
+
+    assert abs(got["h", "b"].cost + math.log(2.5 / 3) / math.log(1000)) < 1e-6
+    assert statistics.inverse_variants("tbe", {("h", "b"): 0.2, ("t", "f"): 0.1})["the"] == 0.2
+
+
+def test_repeated_edits(spark):
+    cases = [("b", i, "correct", w.replace("th", "tb"), w) for i, w in enumerate(["the", "them", "bath"])] + [("b", 9, "retain", "tub", "tub"), ("c", 10, "correct", "tbe", "the")]
+    got = statistics.repeated_edits(spark.createDataFrame(cases, "book string, id int, expected string, before string, after string")).collect()
+    assert [(r.book, r.target, r.observed, r.members, r.exposed) for r in got] == [("b", "h", "b", 3, 1)]
+
+
+def test_near_terms_against_brute_force(spark):
+    from marginalia.functions.similarity import osa
+
+    r = random.Random(7)
+    words = sorted({"".join(r.choice("abc") for _ in range(r.randint(2, 9))) for _ in range(90)})
+    lexicon_ = sorted({"".join(r.choice("abc") for _ in range(r.randint(2, 9))) for _ in range(90)})
+    got = lexicon.near_terms(spark.createDataFrame([(w,) for w in words], "word string"), spark.createDataFrame([(w, 1) for w in lexicon_], "term string, frequency int"), closest=False)
+    # only the first seven letters meet, as their index has it
+    wanted = {(a, b): osa(a, b) for a in words for b in lexicon_ if osa(a, b) <= 2 and max(len(a), len(b)) <= 7}
+    found = {(x.word, x.term): x.distance for x in got.collect()}
+    assert wanted.items() <= found.items() and all(osa(a, b) == d <= 2 for (a, b), d in found.items())
+
+
+def test_context_ranking_by_hand(spark):
+    import math
+
+    occ = spark.createDataFrame([("o", "s", "tbe", "in", None)], "occ_id string, source string, word string, before string, after string")
+    candidates = spark.createDataFrame([("tbe", "the", 1, 100), ("tbe", "toe", 1, 100)], "word string, term string, distance int, frequency int")
+    counts = spark.createDataFrame([("s", "the", 3)], "source string, term string, n int")
+    pairs = spark.createDataFrame([("s", "in", "the", 2), ("s", "in", "a", 1)], "source string, left string, right string, n int")
+    zipf = spark.createDataFrame([("the", 6.0), ("toe", 3.0)], "term string, zipf double")
+    got = lexicon.ranked_in_context(occ, candidates, counts, pairs, zipf).orderBy("rank").collect()
+    g = 0.9 * 2 / 4 + 0.1 * 10 ** (6 - 9)
+    assert [r.term for r in got] == ["the", "toe"]
+    assert abs(got[0].score - (math.log(100) + 0.5 * math.log1p(3) + math.log((2 + 10 * g) / 13) + 2)) < 1e-5
+
+
+def test_decision_cascade(spark):
+    schema = "occ_id string, word string, term string, distance int, frequency int, book_count int, confusion_supported boolean, score double, rank int"
+    ranked = [("a", "w", "t", 1, 9, 2, True, 5.0, 1), ("a", "w", "u", 1, 9, 2, True, 3.0, 2), ("b", "w", "t", 1, 9, 1, True, 5.0, 1), ("c", "w", "t", 1, 9, 2, True, 5.0, 1), ("d", "w", "t", 1, 9, 2, True, 5.0, 1), ("e", "w", "t", 1, 9, 2, True, 5.0, 1), ("e", "w", "u", 1, 9, 2, True, 4.5, 2), ("f", "w", "t", 1, 9, 2, True, 5.0, 1), ("f", "w", "u", 1, 9, 2, True, 4.5, 2)]
+    evidence = [("a", 1, ["t", "t"], "x", 4.0), ("b", 1, ["t", "t"], "t", 4.0), ("c", 2, ["t", "t"], "t", 4.0), ("d", 1, ["t", "w"], "t", 4.0), ("e", 1, ["t", "t"], "w", 4.0), ("f", 1, ["t", "t"], "t", 4.0)]
+    got = lexicon.decided(spark.createDataFrame(ranked, schema), spark.createDataFrame(evidence, "occ_id string, row_count int, readings array<string>, embedded string, zipf double"))
+    assert {r.occ_id: r.reason for r in got.collect()} == {"a": "context-and-two-crop-readings", "b": "insufficient-lexical-evidence", "c": "ambiguous-row-occurrence", "d": "crop-does-not-corroborate", "e": "weak-context-without-embedded-corroboration", "f": "context-and-two-crop-readings"}
+
+
+def test_corrected_readings_follow_approved_spellings(spark):
+    schema = "occ_id string, word string, term string, distance int, zipf double, known boolean, capitalised boolean, score double, own_score double, confusion_supported boolean, readings array<string>"
+    rows_ = [
+        ("crop", "tbe", "the", 1, 6.0, True, False, 1.0, 9.0, True, ["the", "the"]),
+        ("later", "tbe", "the", 1, 6.0, True, False, 1.0, 9.0, False, ["tbe", "x"]),
+        ("printed", "tbe", "the", 1, 6.0, True, False, 1.0, 9.0, False, ["tbe", "tbe"]),
+        ("meaning", "unable", "able", 2, 6.0, True, False, 9.0, 1.0, True, ["able", "able"]),
+        ("judged", "hat", "had", 1, 6.0, True, False, 9.0, 1.0, False, ["x", "y"]),
+        ("name", "Shuma", "shame", 2, 6.0, True, True, 9.0, 1.0, True, ["x", "y"]),
+    ]
+    judged = spark.createDataFrame([("judged", 0.95, 0.9)], "occ_id string, meaning double, grammar double")
+    got = {r.occ_id: (r.action, r.route) for r in lexicon.corrected_readings(spark.createDataFrame(rows_, schema), judged).collect()}
+    assert got == {"crop": ("correct", "crop"), "later": ("correct", "approved-spelling"), "printed": ("editorial-review", "approved-spelling"), "meaning": ("review", None), "judged": ("correct", "semantic"), "name": ("review", None)}
+
+
+def test_engine_benchmark_needs_three_and_a_lead(spark):
+    pages = [(1, "a", "abcdefgh", 1, 0.9), (1, "b", "abcdefgh", 1, 0.9), (1, "c", "xxxxxxxx", 1, 0.9), (2, "a", "abcdefgh", 1, 0.9), (2, "b", "abcdefxx", 1, 0.9), (2, "c", "xxcdefgh", 1, 0.9), (3, "a", "ab", 1, 0.9), (3, "b", "ab", 1, 0.9)]
+    got = evaluation.engine_benchmark(spark.createDataFrame(pages, "page int, engine string, text string, lines int, confidence double"))
+    assert {(r.page, r.engine) for r in got.where("proposed").collect()} == {(2, "a")}
+    assert {r.agreement for r in got.where("page = 3").collect()} == {1.0}

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marginalia.operators import repair
+from marginalia.operators.punctuation import paired
 from marginalia.sources import pages as P
 
 
@@ -28,12 +29,13 @@ def test_scan_and_completeness(spark, tmp_path):
 
 def test_publish_is_all_or_nothing(spark, tmp_path):
     path = str(tmp_path / "out")
-    P.publish(spark.range(3), path, F.col("id") >= 0)
+    first = P.publish(spark.range(3), path, F.col("id") >= 0)
     with pytest.raises(ValueError, match="unchanged"):
         P.publish(spark.range(9), path, F.col("id") < 5)
-    assert spark.read.parquet(path).count() == 3
+    assert P.published(spark, path).count() == 3
     P.publish(spark.range(4), path, F.col("id") >= 0)
-    assert spark.read.parquet(path).count() == 4
+    assert P.published(spark, path).count() == 4
+    assert spark.read.parquet(first).count() == 3  # readers of the old version are not disturbed
 
 
 def test_seams_need_unknown_halves(spark):
@@ -45,14 +47,16 @@ def test_seams_need_unknown_halves(spark):
 def test_headings_and_labels(spark):
     df = spark.createDataFrame([("Chapter one", 0.2), ("CHAPTER", 0.9), ("plain text", 0.2), ("THE END", 0.3)], "line string, y0 double")
     assert [r.line for r in df.where(repair.heading(F.col("line"), F.col("y0"))).collect()] == ["Chapter one", "THE END"]
-    rows = spark.createDataFrame([("12", 0.95), ("12", 0.5), ("xiv", 0.02), ("twelve", 0.95)], "line string, y0 double")
+    assert [r.line for r in df.where(repair.heading(F.col("line"), F.col("y0"), F.lit(0.1))).collect()] == []
+    rows = spark.createDataFrame([("12", 0.95, 0.97), ("12", 0.5, 0.52), ("xiv", 0.02, 0.04), ("ix", 0.06, 0.08), ("twelve", 0.95, 0.97)], "line string, y0 double, y1 double")
     assert [r.line for r in repair.page_labels(rows).collect()] == ["12", "xiv"]
 
 
 def test_quotes():
-    assert repair.paired('he said "yes" and "no"') == ("he said “yes” and “no”", 0)
-    assert repair.paired('"a ("b") c"') == ("“a (“b”) c”", 0)
-    assert repair.paired('an "orphan')[1] == 1
+    assert paired('he said "yes" and "no"') == ("he said «yes» and «no»", [])
+    assert paired('"a ("b") c"') == ("«a („b“) c»", [])
+    assert paired('an "orphan') == ('an "orphan', [(3, "unclosed-quote")])
+    assert paired('5" wide') == ('5" wide', [(1, "unpaired-or-ambiguous-quote")])
 
 
 def test_spread_and_boundaries(spark):
