@@ -49,7 +49,7 @@ DISCOUNT = 0.75
 #: is cut into pieces of so many bytes, each led by the two words before it.
 BLOCK_BYTES, BLOCK_WORDS, PIECE_BYTES = 6_000_000, 400_000, 4_000_000
 #: Words of blocks in a word shard and tokens in an n-gram shard.
-SHARD_WORDS, SHARD_TOKENS = 1_000_000, 1_500_000
+SHARD_WORDS, SHARD_TOKENS = 1_000_000, 700_000
 _END = b" "  # no word holds a space
 _PACK_TOKENS = 50_000
 _TEXTS, _WORDS, _ORDER = range(3)
@@ -434,17 +434,28 @@ def _answered(grams: DataFrame, word_shards: int, shards: int) -> DataFrame:
     def run(chunks: pa.Table) -> pa.Table:
         chunks = chunks.sort_by("block")
         shard = chunks.column("shard")[0].as_py()
+        blocks = chunks.column("block").to_pylist()
         parts = [unpack(b) for b in chunks.column("body").to_pylist()]
+        del chunks
+        sizes = [(len(p[3]), len(p[6])) for p in parts]
+
+        def column(i: int) -> np.ndarray:
+            out = np.concatenate([p[i] for p in parts])
+            for p in parts:
+                p[i] = p[i][:0]  # held once
+            return out
+
         known, place = np.unique(np.concatenate([np.cumsum(p[0]) for p in parts]), return_inverse=True)
         of_context = np.zeros(len(known), np.int64)
-        of_context[place] = np.concatenate([p[1] for p in parts])
-        u = np.repeat(place, np.concatenate([p[2] for p in parts]))
-        v, n2, follow, w, n3 = (np.concatenate([p[i] for p in parts]) for i in range(3, 8))
+        of_context[place] = column(1)
+        u = np.repeat(place, column(2))
+        v, n2, follow, w, n3 = (column(i) for i in range(3, 8))
         base = int(max(v.max(), w.max() if len(w) else 0)) + 1
         pairs, pair = np.unique(u * base + v, return_inverse=True)
         total2 = np.bincount(pair, n2, len(pairs)).astype(np.int64)
         triples, triple = np.unique(np.repeat(pair, follow) * base + w, return_inverse=True)
         total3 = np.bincount(triple, n3, len(triples)).astype(np.int64)
+        del u, v, w, n2, n3, follow
         kept2, kept3 = np.flatnonzero(total2 >= LEAST), np.flatnonzero(total3 >= LEAST)
         entry = np.full(len(pairs), -1, np.int64)
         entry[kept2] = np.arange(len(kept2))
@@ -458,8 +469,8 @@ def _answered(grams: DataFrame, word_shards: int, shards: int) -> DataFrame:
         share2, weight, share3 = trie.code("share2", found2)[pair], trie.code("weight", found2)[pair], trie.code("share3", found3)[triple]
         books = [trie.book(n) for n in ("share2", "weight", "share3")]
         rows, a, x = [], 0, 0
-        for block, p in zip(chunks.column("block").to_pylist(), parts, strict=True):
-            b, y = a + len(p[3]), x + len(p[6])
+        for block, (pairs_, triples_) in zip(blocks, sizes, strict=True):
+            b, y = a + pairs_, x + triples_
             rows.append((block, _ANSWERS, shard, pack(share2[a:b], weight[a:b], share3[x:y], *books)))
             a, x = b, y
         some = np.flatnonzero(taken > 0)
