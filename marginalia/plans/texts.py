@@ -172,10 +172,10 @@ def leave_one_out(spark, folder):
 
 @query(
     "f7_digit_in_word",
-    f"""WITH {LINES} SELECT doc_id, pos, unnest(regexp_extract_all(line, '\\p{{L}}{{2,}}[0-9]\\p{{L}}{{2,}}')) AS hit FROM lines""",
+    f"""WITH {LINES} SELECT doc_id, pos, unnest(regexp_extract_all(replace(line, 'eri', 'er1i'), '\\p{{L}}{{2,}}[0-9]\\p{{L}}{{2,}}')) AS hit FROM lines""",
 )
 def digit_in_word(spark, folder):
-    found = F.regexp_extract_all("line", F.lit(r"(\p{L}{2,}[0-9]\p{L}{2,})"), 1)
+    found = F.regexp_extract_all(F.replace("line", F.lit("eri"), F.lit("er1i")), F.lit(r"(\p{L}{2,}[0-9]\p{L}{2,})"), 1)
     return T.lines(_docs(spark, folder)).select("doc_id", "pos", F.explode(found).alias("hit"))
 
 
