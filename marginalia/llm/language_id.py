@@ -121,11 +121,12 @@ def _space() -> _Space:
 def bundled(space: _Space, grams: np.ndarray, owner: np.ndarray, place: np.ndarray, rows: int) -> np.ndarray:
     """The sum of each owner's n-gram vectors, some n-grams at a time."""
     total = np.zeros((rows, DIMENSIONS), np.int64)
-    order = np.argsort(place, kind="stable")
-    owner, place = owner[order], place[order]
+    if len(grams) > _BLOCK_NGRAMS:
+        order = np.argsort(place, kind="stable")
+        owner, place = owner[order], place[order]
     for at in range(0, len(grams), _BLOCK_NGRAMS):
         part = grams[at : at + _BLOCK_NGRAMS]
-        a, z = np.searchsorted(place, (at, at + len(part)))
+        a, z = np.searchsorted(place, (at, at + len(part))) if len(grams) > _BLOCK_NGRAMS else (0, len(place))
         counts = np.bincount(owner[a:z] * len(part) + place[a:z] - at, minlength=rows * len(part)).reshape(rows, len(part))
         # whole numbers below 2**24 are exact in single precision
         exact = np.float32 if z - a < 1 << 24 else np.float64
