@@ -139,7 +139,7 @@ def compound_splits(words: DataFrame, lexicon: DataFrame) -> DataFrame:
     cut = cut.select("word", F.substr("word", F.lit(1), F.col("i")).alias("a"), F.substr("word", F.col("i") + 1).alias("b"))
     left, right = lexicon.select(F.col("term").alias("a"), F.col("frequency").alias("fa")), lexicon.select(F.col("term").alias("b"), F.col("frequency").alias("fb"))
     found = cut.join(left, "a").join(right, "b")
-    best = F.max_by(F.concat_ws(" ", "a", "b"), F.struct((F.log("fa") + F.log("fb")).alias("s"), F.concat_ws(" ", "a", "b")))
+    best = F.max_by(F.concat_ws(" ", "a", "b"), F.struct((F.col("fa") * F.col("fb")).alias("s"), F.concat_ws(" ", "a", "b")))
     return found.groupBy("word").agg(best.alias("split"))
 
 

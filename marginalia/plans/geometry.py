@@ -45,6 +45,12 @@ def _rows(spark, folder):
     return _sheet(spark, folder).select("source", F.col("doc_id").alias("page"), F.col("pos").alias("row"), F.col("line").alias("text"), "x0", "y0", "x1", "y1", F.lit(0).alias("col"))
 
 
+def _wrapped(spark, folder):
+    """The same of rows as wide as a page's."""
+    rows = T.sheet(T.wrapped(T.lines(_docs(spark, folder))))
+    return rows.select("source", F.col("doc_id").alias("page"), F.col("pos").alias("row"), F.col("line").alias("text"), "x0", "y0", "x1", "y1", F.lit(0).alias("col"))
+
+
 # ---- page observations -----------------------------------------------------
 
 
@@ -230,8 +236,9 @@ def captions(spark, folder):
 
 @query("m14_headers")
 def headers(spark, folder):
-    rows = _rows(spark, folder).select("source", "page", F.col("y0").alias("y"), "text")
-    return layout.running_heads(rows, "source")
+    title = F.when(F.col("row") == 1, F.concat(F.lit("THE BOOK OF A "), F.when(F.col("page") % 9 == 4, "TOWM").otherwise("TOWN"))).otherwise(F.col("text"))
+    rows = _rows(spark, folder).select("source", "page", F.col("y0").alias("y"), title.alias("text"))
+    return layout.running_heads(layout.margin_rows(rows), "source")
 
 
 @query(
@@ -452,14 +459,14 @@ def nearby(spark, folder):
 
 @query("j23_aligned")
 def aligned(spark, folder):
-    rows = _rows(spark, folder).select("page", F.concat_ws(":", "page", "row").alias("row"), ((F.col("y0") + F.col("y1")) / 2).alias("centre"), "text")
+    rows = _wrapped(spark, folder).select("page", F.concat_ws(":", "page", "row").alias("row"), ((F.col("y0") + F.col("y1")) / 2).alias("centre"), "text")
     source = rows.withColumn("text", F.when(F.length("text") % 2 == 0, F.regexp_replace("text", "(.)", "$1 ")).otherwise(F.replace("text", F.lit("th"), F.lit("tb"))))
     return typography.aligned_source(rows, source)
 
 
 @query("j24_missing_lines")
 def missing_lines(spark, folder):
-    rows = _rows(spark, folder).select("page", F.concat_ws(":", "page", "row").alias("row_id"), "row", ((F.col("y0") + F.col("y1")) / 2).alias("centre"), "text")
+    rows = _wrapped(spark, folder).select("page", F.concat_ws(":", "page", "row").alias("row_id"), "row", ((F.col("y0") + F.col("y1")) / 2).alias("centre"), "text")
     third = rows.withColumn("text", F.when(F.col("row") % 6 == 3, F.reverse("text")).otherwise(F.col("text")))
     return reconcile.missing_lines(rows.where("row % 3 <> 0").drop("row"), rows.drop("row"), rows.drop("row"), third.drop("row"))
 
@@ -502,7 +509,7 @@ def case_repairs(spark, folder):
 @query("m12_witnessed_case")
 def witnessed_case(spark, folder):
     line = F.col("line")
-    rows = T.lines(_docs(spark, folder)).select(F.concat_ws(":", "doc_id", "pos").alias("row_id"), F.regexp_replace("line", r"\b(\p{Ll}{3})(\p{Ll}{2})\b", "$1X$2").alias("text"), F.regexp_replace(line, "X", "").alias("one"), line.alias("two"))
+    rows = T.wrapped(T.lines(_docs(spark, folder))).select(F.concat_ws(":", "doc_id", "pos").alias("row_id"), F.regexp_replace("line", r"\b(\p{Ll}{3})(\p{Ll}{2})\b", "$1X$2").alias("text"), F.regexp_replace(line, "X", "").alias("one"), line.alias("two"))
     known = statistics.term_stats(T.tokens(_docs(spark, folder))).select("term")
     return repair.case_decisions(rows, ("one", "two"), known, known.where("false"), letters="A-Za-z")
 

@@ -71,7 +71,7 @@ def near_terms(spark, folder):
 @query(
     "m2b_compounds",
     f"""WITH {STATS}, k AS (SELECT term, count FROM stats WHERE page_df >= 3), w AS (SELECT DISTINCT term FROM stats WHERE length(term) >= 8), c AS (SELECT term, unnest(range(1, length(term))) AS i FROM w),
-    f AS (SELECT c.term AS word, a.term || ' ' || b.term AS split, ln(a.count) + ln(b.count) AS s FROM c JOIN k a ON a.term = substr(c.term, 1, i) JOIN k b ON b.term = substr(c.term, i + 1))
+    f AS (SELECT c.term AS word, a.term || ' ' || b.term AS split, a.count * b.count AS s FROM c JOIN k a ON a.term = substr(c.term, 1, i) JOIN k b ON b.term = substr(c.term, i + 1))
     SELECT word, arg_max(split, (s, split)) AS split FROM f GROUP BY 1""",
 )
 def compounds(spark, folder):
@@ -190,7 +190,7 @@ def phrases(spark, folder):
 
 
 def _readings(spark, folder):
-    rows = T.lines(_docs(spark, folder))
+    rows = T.wrapped(T.lines(_docs(spark, folder)))
     other = F.replace("line", F.lit("th"), F.lit("tb"))
     return rows.select(
         F.concat_ws(":", "doc_id", "pos").alias("row_id"),

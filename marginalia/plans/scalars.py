@@ -215,7 +215,7 @@ def quality_scores(spark, folder):
     "box_overlap",
     """WITH b AS (SELECT l_orderkey AS o, l_linenumber AS n, l_partkey % 50 AS x0, l_suppkey % 40 AS y0, l_partkey % 50 + l_quantity AS x1, l_suppkey % 40 + 20 AS y1 FROM lineitem),
     m AS (SELECT a.o, a.n, b.n AS m, greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) AS i, (a.x1 - a.x0) * (a.y1 - a.y0) AS p, (b.x1 - b.x0) * (b.y1 - b.y0) AS q FROM b a JOIN b ON a.o = b.o AND a.n < b.n)
-    SELECT o, n, m, round(i / nullif(p + q - i, 0)::DOUBLE, 6) AS iou, round(i / nullif(least(p, q), 0)::DOUBLE, 6) AS inner_share FROM m""",
+    SELECT o, n, m, round(i / nullif(p + q - i, 0)::DOUBLE, 9) AS iou, round(i / nullif(least(p, q), 0)::DOUBLE, 9) AS inner_share FROM m""",
 )
 def box_overlap(spark, folder):
     box = T.table(spark, folder, "lineitem").select(
@@ -225,7 +225,7 @@ def box_overlap(spark, folder):
     a, b = box.alias("a"), box.alias("b")
     met = a.join(b, (F.col("a.o") == F.col("b.o")) & (F.col("a.n") < F.col("b.n")))
     iou, inner = X.box_iou([F.col(f"a.{c}") for c in ("x0", "y0", "x1", "y1")], [F.col(f"b.{c}") for c in ("x0", "y0", "x1", "y1")])
-    return met.select("a.o", "a.n", F.col("b.n").alias("m"), F.round(iou, 6).alias("iou"), F.round(inner, 6).alias("inner_share"))
+    return met.select("a.o", "a.n", F.col("b.n").alias("m"), F.round(iou, 9).alias("iou"), F.round(inner, 9).alias("inner_share"))
 
 
 @query("m13_punctuation")

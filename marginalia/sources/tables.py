@@ -62,3 +62,11 @@ def sheet(rows: DataFrame) -> DataFrame:
         .withColumn("y1", (F.col("pos") + 0.6) / F.col("n_lines"))
         .withColumn("x1", F.col("x0") + F.least(F.lit(0.75), F.length("line") / 100))
     )
+
+
+def wrapped(rows: DataFrame, width: int = 80) -> DataFrame:
+    """Lines cut into rows of a page's width; ``pos`` numbers them anew."""
+    starts = F.sequence(F.lit(0), F.greatest(F.length("line") - 1, F.lit(0)), F.lit(width))
+    cut = rows.select("doc_id", "source", "lang", F.col("pos").alias("_line"), F.posexplode(F.transform(starts, lambda i: F.substr("line", i + 1, F.lit(width)))).alias("_k", "line"))
+    order = Window.partitionBy("doc_id").orderBy("_line", "_k")
+    return cut.withColumn("pos", F.row_number().over(order) - 1).drop("_line", "_k")
