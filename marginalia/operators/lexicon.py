@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from marginalia.functions import text as X
 from marginalia.functions.similarity import edit_chunks, osa_distance
+from marginalia.sources.settle import settled
 
 
 def detect(terms: DataFrame, lexicon: DataFrame, protected: DataFrame, short: int = 4) -> DataFrame:
@@ -94,7 +95,9 @@ def ranked(pairs: DataFrame, stats: DataFrame) -> DataFrame:
 
 def review_queue(stats: DataFrame, known_pages: int = 3) -> DataFrame:
     """Surfaced terms with their best suggestions: a term on few pages that is
-    one edit from one on at least ``known_pages``."""
+    one edit from one on at least ``known_pages``.  The statistics are counted
+    once: they are used four times."""
+    stats = settled(stats)
     lexicon = stats.where(F.col("page_df") >= known_pages)
     reasons = detect(stats.select("term"), lexicon, stats.where("false").select("term"))
     surfaced = reasons.where("reason is null").select("term")
