@@ -130,10 +130,17 @@ def _linked(points: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndar
     return np.concatenate(lefts), np.concatenate(rights)
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, radius: int | None = None) -> DataFrame:
     """Links ``(u, v)`` between distinct fingerprints ``fp`` that connect
-    whatever is at most ``max_bits`` apart."""
-    cosets = _cosets(1 + (max_bits + 1) // 2)
+    whatever is at most ``max_bits`` apart.
+
+    ``radius`` is how far anchors are from the fingerprints replicated to them:
+    at least the covering radius 1 and half the threshold; covering radius plus
+    threshold, 1 + ``max_bits``, gives the same links at more anchors."""
+    least = 1 + (max_bits + 1) // 2
+    if radius is not None and radius < least:
+        raise ValueError(f"anchors within {radius} miss pairs at {max_bits} bits")
+    cosets = _cosets(radius or least)
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -229,3 +229,18 @@ def test_changed_template_is_found_and_reported_once(docs, words):
     rows = [(1, " ".join(words(8, 50)) + " " + text + " " + " ".join(words(9, 50)), "en", "a")]
     row = licenses.scan(docs(rows)).first()
     assert [m.license for m in row.matches] == ["gpl-3.0"] and 0.8 <= row.matches[0].containment < 1
+
+
+def test_radius_of_anchors_changes_no_class(spark):
+    r = random.Random(8)
+    points = [r.getrandbits(63) for _ in range(40)]
+    points += [p ^ (1 << r.randrange(63)) ^ (1 << r.randrange(63)) for p in points for _ in range(3)]
+    table = spark.createDataFrame([(p,) for p in sorted(set(points))], "fp long")
+
+    def classes(radius):
+        found = components.connected_components(simhash.links(table, 2, radius)).collect()
+        return {(x.node, x.root) for x in found}
+
+    assert classes(None) == classes(3) and classes(None)
+    with pytest.raises(ValueError, match="miss"):
+        simhash.links(table, 2, 1)
