@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.storage import materialize
+from marginalia.llm.storage import materialize, tidy
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -47,6 +47,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         was, digest = digest, _digest(state)
         if was == digest:
             break
+    tidy(state.sparkSession)
     return state.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.native_text import text_hash
-from marginalia.llm.storage import free_name
+from marginalia.llm.storage import free_name, small_batches
 
 DIMENSIONS = 1024
 #: Name of texts without a letter.
@@ -153,6 +153,7 @@ def held_out(key: Column, folds: int = 5) -> Column:
 def fit(docs: DataFrame, *, text: str = "text", key: str = "doc_id", lang: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages in order and their sums, from rows with a language that are
     not held out.  What is returned has one row of numbers per language."""
+    small_batches(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space, sums = _space(), {}

@@ -24,6 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.llm.storage import small_batches
+
 BANDS = 40
 SHINGLE = 3
 #: Least share of a template's shingles that a match holds.
@@ -228,6 +230,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, *, tex
     texts are scanned whole, in overlapping pieces; other columns are never read;
     an empty table gives no rows, no templates no matches.
     """
+    small_batches(docs)
     templates = TEMPLATES if templates is None else templates
     match = pa.struct([("license", pa.string()), ("start_word", pa.int32()), ("n_words", pa.int32()), ("containment", pa.float64())])
 

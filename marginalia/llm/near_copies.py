@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from marginalia.llm import simhash
 from marginalia.llm.components import connected_components
-from marginalia.llm.storage import few, materialize
+from marginalia.llm.storage import few, materialize, small_batches
 
 SHINGLE_WORDS = 5
 #: Least similarity as a fraction, so that it is compared in whole numbers.
@@ -105,6 +105,7 @@ def _fp(text: str) -> Column:
 
 def _signed(docs: DataFrame, text: str) -> DataFrame:
     """``fp, n, buckets, sig``: each distinct text's shingles and signature."""
+    small_batches(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()

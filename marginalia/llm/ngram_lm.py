@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.elias_fano import EliasFano, Level, dump, mapped
-from marginalia.llm.storage import materialize
+from marginalia.llm.storage import materialize, small_batches
 
 #: Training count from which a word, pair or triple is in the trie.
 LEAST = 2
@@ -129,6 +129,7 @@ def _numbered(docs: DataFrame, text: str, key: str) -> DataFrame:
     pieces and else 0, its length; and all word numbers) and of blocks (kind 1:
     hashes in order, as differences, and training counts; kind 2: the words'
     numbers in that order).  ``split``: whether a text has several pieces."""
+    small_batches(docs)
     kind = docs.select(F.col(key).alias("key")).schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from marginalia.llm.storage import materialize
+from marginalia.llm.storage import materialize, small_batches
 from marginalia.llm.token_counts import byte_symbols
 
 CAPACITY = 2048
@@ -70,6 +70,7 @@ _encoders: dict[str, Encoder] = {}
 def pieces(docs: DataFrame, path: str, *, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
     """``key, piece, start, length, ids_crc32`` of every document's ids and
     one end id; a null text is empty and so a piece of length 1."""
+    small_batches(docs)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _encoders:
             _encoders[path] = Encoder(path)

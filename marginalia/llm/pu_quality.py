@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.llm.storage import small_batches
+
 #: Rows of the positive and of the unlabelled sample, at most.
 SAMPLE_ROWS = 8_000
 #: Score from which a text is called good.
@@ -176,6 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "d
     are taken, with the text of least hash of each; of all documents the
     :data:`SAMPLE_ROWS` distinct pairs of key and text with the least hashes.
     The class prior's shares are counted over all documents."""
+    small_batches(docs)
     good = labels.where((F.col(quality) == 1) & ~held_out(F.col(key)) & F.col(key).isNotNull()).select(F.col(key).alias("__good")).distinct()
     first = good.select(F.xxhash64("__good").alias("h"), "__good").orderBy("h", "__good").limit(SAMPLE_ROWS).select("__good")
     known = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(first), F.col("k") == F.col("__good"), "left_semi")

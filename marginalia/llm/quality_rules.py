@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.llm.native_text import SPACE, space_words, text_hash
-from marginalia.llm.storage import free_name, materialize
+from marginalia.llm.storage import free_name, materialize, tidy
 
 #: Share of a group's rows that the estimate rests on.
 COVER = 0.6
@@ -240,6 +240,7 @@ def least_determinants(rows: DataFrame) -> DataFrame:
         if number > FIRST_STEPS and fitted.where(F.col("det") < F.col("was") - FALL).isEmpty():
             break
         fitted = fitted.drop("was")
+    tidy(rows.sparkSession)
     return fitted
 
 
@@ -267,6 +268,7 @@ def _judged(docs: DataFrame, *, text: str = "text", key: str = "doc_id", lang: s
     text."""
     stats = statistics(docs, text=text, key=key, lang=lang, source=source)
     stats = materialize(stats.withColumn("row", F.monotonically_increasing_id()), "statistics")
+    tidy(docs.sparkSession)
     rows = materialize(_grouped(stats.withColumn("key", F.col("row"))), "rows")
     sizes = rows.groupBy(F.col("g")[0].alias("source"), F.col("g")[1].alias("lang")).agg(F.count("*").alias("n"))
     sizes = sizes.withColumn("lang_n", F.sum("n").over(Window.partitionBy("lang")))

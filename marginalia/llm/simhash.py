@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.components import connected_components
-from marginalia.llm.storage import few, free_name, materialize
+from marginalia.llm.storage import few, free_name, materialize, small_batches
 
 CODE_BITS = 63
 SHINGLE_WORDS = 3
@@ -50,6 +50,7 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, *, text: str = "text", key: str = "doc_id", words: int = SHINGLE_WORDS) -> DataFrame:
     """``key, fp`` with the fingerprint as a signed long; a null text is empty."""
+    small_batches(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,6 +18,20 @@ _written: list[str] = []
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Rows of an Arrow batch between Spark and Python, where the session does not
+#: say otherwise: whole texts in both and in their copies stay a few megabytes.
+BATCH_ROWS = 2_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> None:
+    """Sets the session's Arrow batches to :data:`BATCH_ROWS` if they are as
+    Spark has them by default."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, "10000") == "10000":
+        conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.  Where it is unset, a
     local run gets a temporary one; on a cluster that is an error, as every
@@ -57,6 +71,13 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Has the driver's JVM collect now: Spark frees the broadcast tables and
+    shuffle files of finished queries only when their handles are collected, and
+    the heap is given back."""
+    spark._jvm.System.gc()
+
+
 #: Rows of a few numbers that are broadcast: 24 bytes each, 50 MB at most.
 BROADCAST_ROWS = 2_000_000
 

@@ -22,6 +22,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from marginalia.llm.storage import small_batches
+
 #: Entries of one cache generation; two generations are held.  Longer keys are
 #: not held, so a generation has a bound in bytes.
 CACHE_ENTRIES, CACHE_CHARS = 400_000, 64
@@ -152,6 +154,7 @@ def count_tokens(docs: DataFrame, path: str, *, text: str = "text", key: str = "
     other columns are never read; an empty table gives no rows.
     ``path`` names a byte-level BPE file that every executor can open.
     """
+    small_batches(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _counters:
