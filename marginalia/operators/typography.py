@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marginalia.functions import matching
 from marginalia.functions import text as X
 from marginalia.functions.similarity import WORD, seq_ratio
 from marginalia.operators.joins import nearest
@@ -230,7 +231,7 @@ def same_line(candidate: pd.Series, text: pd.Series) -> pd.Series:
         if a == b or (sum(len(w) == 1 and w.isalpha() for w in a.split()) >= 3 and "".join(a.split()) == "".join(b.split())):
             return True
         matcher = SequenceMatcher(None, a, b, autojunk=False)
-        return matcher.real_quick_ratio() >= 0.85 and matcher.quick_ratio() >= 0.85 and matcher.ratio() >= 0.85  # cheap bounds first
+        return matcher.real_quick_ratio() >= 0.85 and matcher.quick_ratio() >= 0.85 and matching.ratio(a, b) >= 0.85  # cheap bounds first
 
     return pd.Series([a is not None and b is not None and one(a, b) for a, b in zip(candidate, text, strict=True)], dtype=bool)
 
