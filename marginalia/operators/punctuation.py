@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,12 +27,34 @@ def form(text: str, original: str = "") -> str:
     return " ".join(text.translate(str.maketrans("„“”«»", '"""""')).split())
 
 
-def gap(text: str, left: list[str], right: list[str], fuzzy: bool = False) -> tuple[int, int, str] | None:
+class _Words:
+    """The words of a text with their places, found once."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.spans = [w.span() for w in WORD.finditer(text)]
+        self.starts, self.ends = [s for s, _ in self.spans], [e for _, e in self.spans]
+        self.values = [text[s:e].lower() for s, e in self.spans]
+        self.places: dict[str, list[int]] = {}
+        for i, w in enumerate(self.values):
+            self.places.setdefault(w, []).append(i)
+
+    def around(self, lo: int, hi: int) -> tuple[list[str], list[str]]:
+        """Up to three words that end by ``lo``, and two that start from ``hi``."""
+        left, right = bisect_right(self.ends, lo), bisect_left(self.starts, hi)
+        return self.values[max(left - 3, 0) : left], self.values[right : right + 2]
+
+
+def gap(text: str | _Words, left: list[str], right: list[str], fuzzy: bool = False) -> tuple[int, int, str] | None:
     """The only place where ``left`` words and ``right`` words (or the end)
     have nothing but punctuation between them.  ``fuzzy`` lets one word of four
-    letters be off by one character where two others of four are equal."""
-    words = list(WORD.finditer(text))
-    values, wanted = [w[0].lower() for w in words], left + right
+    letters be off by one character where two others of four are equal.
+
+    Only the places of the rarest word are looked at; of two words one is equal
+    where a single one may be off, so ``fuzzy`` looks at those of the two
+    rarest."""
+    known = _Words(text) if isinstance(text, str) else text
+    text, values, wanted = known.text, known.values, left + right
 
     def close(actual: list[str]) -> bool:
         off = [(a, b) for a, b in zip(actual, wanted, strict=False) if a != b]
@@ -40,13 +63,14 @@ def gap(text: str, left: list[str], right: list[str], fuzzy: bool = False) -> tu
         same = sum(a == b and len(a) >= 4 for a, b in zip(actual, wanted, strict=True))
         return same >= 2 and sum(max(len(p), len(q)) for p, q, _ in chunks(*off[0])) <= 1
 
+    rarest = sorted(range(len(wanted)), key=lambda k: len(known.places.get(wanted[k], ())))[: 2 if fuzzy else 1]
     hits = []
-    for i in range(len(words) - len(wanted) + 1):
-        actual = values[i : i + len(wanted)]
-        if actual != wanted and not close(actual):
+    for i in sorted({p - k for k in rarest for p in known.places.get(wanted[k], ())}):
+        actual = values[i : i + len(wanted)] if 0 <= i <= len(values) - len(wanted) else None
+        if actual is None or (actual != wanted and not close(actual)):
             continue
-        end = words[i + len(left) - 1].end()
-        start = words[i + len(left)].start() if right else len(text)
+        end = known.ends[i + len(left) - 1]
+        start = known.starts[i + len(left)] if right else len(text)
         if not re.search(r"\w", text[end:start]):
             hits.append((end, start, text[end:start]))
     return hits[0] if len(hits) == 1 else None
@@ -71,15 +95,18 @@ def decisions(text: str, cached: str | None, fresh: str | None, behind: str = ""
     stop where the row has two marks.  A dash at the end of a row is left to the
     repair of broken words, and a real stop before a capital is kept.
     ``behind`` is the next row's text."""
-    words, out = list(WORD.finditer(text)), []
-    for lo, hi in suspects(text, verse):
-        left = [w[0].lower() for w in words if w.end() <= lo][-3:]
-        right = [w[0].lower() for w in words if w.start() >= hi][:2]
-        place = gap(text, left, right) if left and len(left[-1]) >= 4 else None
+    out: list[tuple[int, int, str, str | None, str]] = []
+    places = suspects(text, verse)
+    if not places:
+        return out
+    known = {t: _Words(t) for t in {text, cached, fresh} if t}
+    for lo, hi in places:
+        left, right = known[text].around(lo, hi)
+        place = gap(known[text], left, right) if left and len(left[-1]) >= 4 else None
         if place is None:
             continue
         start, stop, before = place
-        found = [(gap(t, left, right) or gap(t, left, right, fuzzy=True)) if t else None for t in (cached, fresh)]
+        found = [(gap(known[t], left, right) or gap(known[t], left, right, fuzzy=True)) if t else None for t in (cached, fresh)]
         read = [form(f[2], before) if f else None for f in found]
         after, reason = None, "punctuation-witness-conflict"
         if None not in read:
