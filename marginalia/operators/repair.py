@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -87,15 +88,17 @@ def linked(notes: DataFrame, calls: DataFrame, key: list[str]) -> DataFrame:
     return joined.withColumn("reason", reason).withColumn("call_id", F.when(reason == "linked", F.col("call_id")))
 
 
-def boundary_changes(before: Column, after: Column) -> Column:
-    """Offsets, counted without spaces, of word ends in one but not both."""
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _ends_apart(before: pd.Series, after: pd.Series) -> pd.Series:
+    """Running sums of one list but not of both; Catalyst has none that takes
+    one pass over a row."""
+    return pd.Series([None if a is None or b is None else sorted(set(accumulate(map(int, a))) ^ set(accumulate(map(int, b)))) for a, b in zip(before, after, strict=True)], dtype=object)
 
-    def ends(c: Column) -> Column:
-        sizes = F.transform(F.split(X.collapse(c), " "), lambda t: F.length(t))
-        zero = F.struct(F.array().cast("array<int>").alias("out"), F.lit(0).alias("at"))
-        return F.aggregate(sizes, zero, lambda a, n: F.struct(F.concat(a["out"], F.array(a["at"] + n)).alias("out"), (a["at"] + n).alias("at")), lambda a: a["out"])
 
-    return F.array_sort(F.concat(F.array_except(ends(before), ends(after)), F.array_except(ends(after), ends(before))))
+def boundary_changes(before: Column, after: Column) -> Column:
+    """Offsets, counted without spaces, of word ends in one but not both."""
+    sizes = lambda c: F.transform(F.split(X.collapse(c), " "), lambda t: F.length(t))
+    return _ends_apart(sizes(before), sizes(after))
 
 
 def spread(text: Column, n: Column) -> Column:
@@ -164,10 +167,9 @@ def aligned_word(text: str, witness: str, index: int) -> str | None:
     own, other = [m[0].lower() for m in WORD.finditer(text)], [m[0] for m in WORD.finditer(witness)]
     low, found = [w.lower() for w in other], []
     for j, word in enumerate(low):
-        if SequenceMatcher(None, own[index], word).ratio() >= 0.8:
-            held = sum(0 <= index + d < len(own) and 0 <= j + d < len(low) and own[index + d] == low[j + d] for d in (-2, -1, 1, 2))
-            if held >= 2:
-                found.append((held, other[j]))
+        held = sum(0 <= index + d < len(own) and 0 <= j + d < len(low) and own[index + d] == low[j + d] for d in (-2, -1, 1, 2))
+        if held >= 2 and SequenceMatcher(None, own[index], word).ratio() >= 0.8:  # few words have equal neighbours
+            found.append((held, other[j]))
     found.sort(reverse=True)
     return found[0][1] if found and (len(found) == 1 or found[0][0] > found[1][0]) else None
 
