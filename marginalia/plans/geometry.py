@@ -47,7 +47,7 @@ def _rows(spark, folder):
 
 def _wrapped(spark, folder):
     """The same of rows as wide as a page's."""
-    rows = T.sheet(T.wrapped(T.lines(_docs(spark, folder))))
+    rows = T.sheet(T.wrapped(_docs(spark, folder)))
     return rows.select("source", F.col("doc_id").alias("page"), F.col("pos").alias("row"), F.col("line").alias("text"), "x0", "y0", "x1", "y1", F.lit(0).alias("col"))
 
 
@@ -509,7 +509,7 @@ def case_repairs(spark, folder):
 @query("m12_witnessed_case")
 def witnessed_case(spark, folder):
     line = F.col("line")
-    rows = T.wrapped(T.lines(_docs(spark, folder))).select(F.concat_ws(":", "doc_id", "pos").alias("row_id"), F.regexp_replace("line", r"\b(\p{Ll}{3})(\p{Ll}{2})\b", "$1X$2").alias("text"), F.regexp_replace(line, "X", "").alias("one"), line.alias("two"))
+    rows = T.wrapped(_docs(spark, folder)).select(F.concat_ws(":", "doc_id", "pos").alias("row_id"), F.regexp_replace("line", r"\b(\p{Ll}{3})(\p{Ll}{2})\b", "$1X$2").alias("text"), F.regexp_replace(line, "X", "").alias("one"), line.alias("two"))
     known = statistics.term_stats(T.tokens(_docs(spark, folder))).select("term")
     return repair.case_decisions(rows, ("one", "two"), known, known.where("false"), letters="A-Za-z")
 
