@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,17 +11,6 @@ from marginalia.functions import text as X
 from marginalia.sources.settle import settled
 
 
-def dealt(rows: DataFrame, *by: str, mb: float = 1.0) -> DataFrame:
-    """``rows`` in parts by the hash of ``by``, one for each ``mb`` of the
-    estimated input at least.  Small keys compress so well that adaptive
-    execution, which looks at bytes shuffled, would put too many rows in one
-    part; these parts are not put together."""
-    spark = rows.sparkSession
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / (mb * 1e6)))
-    return rows.repartition(min(parts, 20_000), *by)
-
-
 def nearest(left: DataFrame, right: DataFrame, by: str, left_at: str, right_at: str, reach: float, left_id: str, right_id: str) -> DataFrame:
     """Per left row the nearest right row of the same ``by`` less than
     ``reach`` away, ties to the least id; left rows without one keep nulls.

@@ -100,7 +100,8 @@ def clips(spark, folder):
 )
 def embedded(spark, folder):
     at = lambda c, k: F.col(c) * F.lit(float(k))
-    spans = T.tokens(_docs(spark, folder)).select(F.col("doc_id").alias("page"), F.col("pos").alias("line"), F.col("idx").alias("seq"), F.col("form").alias("text"), at("idx", 40).alias("x0"), at("pos", 12).alias("y0"), (at("idx", 40) + 30).alias("x1"), (at("pos", 12) + 10).alias("y1"))
+    # dealt by page, so that a line's words are joined where they are cut
+    spans = T.tokens(T.dealt(_docs(spark, folder))).select(F.col("doc_id").alias("page"), F.col("pos").alias("line"), F.col("idx").alias("seq"), F.col("form").alias("text"), at("idx", 40).alias("x0"), at("pos", 12).alias("y0"), (at("idx", 40) + 30).alias("x1"), (at("pos", 12) + 10).alias("y1"))
     odd = F.col("doc_id") % 2 == 1
     sizes = _docs(spark, folder).select(F.col("doc_id").alias("page"), F.lit(612.0).alias("width"), F.lit(792.0).alias("height"), F.when(odd, 0.05).alias("split"), F.when(odd, 0.1).alias("start"))
     rows = P.embedded_rows(spans, sizes)
@@ -302,7 +303,7 @@ def line_policy(spark, folder):
     mark = F.when(F.col("pos") % 3 == 0, "-").when(F.col("pos") % 3 == 1, "-.").otherwise("")
     halves = F.array(F.concat(F.expr("left(line, length(line) div 2)"), mark), F.expr("substr(line, length(line) div 2 + 1)"))
     lines = T.lines(_docs(spark, folder)).select("doc_id", "pos", F.posexplode(halves).alias("k", "half")).select("doc_id", (F.col("pos") * 2 + F.col("k")).alias("pos"), F.col("half").alias("line"))
-    known = statistics.term_stats(T.tokens(_docs(spark, folder))).where("count >= 2")
+    known = statistics.collection_stats(_docs(spark, folder)).where("count >= 2")
     return typography.line_policy(lines, known).select("doc_id", "pos", "action")
 
 
@@ -477,7 +478,7 @@ def seam_candidates(spark, folder):
     rows = _rows(spark, folder).select("page", "row", "y0", "y1", F.posexplode(half).alias("k", "text"))
     high = F.col("y1") - F.col("y0")
     rows = rows.select("page", (F.col("row") * 2 + F.col("k")).alias("row"), F.lit(0).alias("col"), "text", F.lit(0.1).alias("x0"), (F.col("y0") + F.col("k") * high / 2).alias("y0"), F.lit(0.9).alias("x1"), (F.col("y0") + (F.col("k") + 1) * high / 2).alias("y1"))
-    lexicon = statistics.term_stats(T.tokens(_docs(spark, folder))).select("term", "count")
+    lexicon = statistics.collection_stats(_docs(spark, folder)).select("term", "count")
     return repair.seam_candidates(rows, lexicon, lexicon.where("false").select("term"))
 
 
@@ -491,7 +492,7 @@ def seams(spark, folder):
     docs = _docs(spark, folder)
     halves = F.array(F.expr("left(line, length(line) div 2)"), F.expr("substr(line, length(line) div 2 + 1)"))
     lines = T.lines(docs).select("doc_id", "pos", F.posexplode(halves).alias("k", "line")).select("doc_id", (F.col("pos") * 2 + F.col("k")).alias("pos"), "line")
-    return repair.seams(lines, statistics.term_stats(T.tokens(docs)).where("page_df >= 3"))
+    return repair.seams(lines, statistics.collection_stats(docs).where("page_df >= 3"))
 
 
 @query(
@@ -503,14 +504,14 @@ def case_repairs(spark, folder):
     tokens = T.tokens(_docs(spark, folder)).where(~F.contains("form", F.lit("ß")))
     mixed = F.concat(F.substring(F.lower("form"), 1, 2), F.upper(F.substring("form", 3, 1)), F.substr("form", F.lit(4)))
     tokens = tokens.withColumn("form", F.when((F.length("form") >= 4) & (F.col("idx") % 5 == 2), mixed).otherwise(F.col("form")))
-    return repair.case_repairs(tokens, statistics.term_stats(T.tokens(_docs(spark, folder))).where("page_df >= 2"))
+    return repair.case_repairs(tokens, statistics.collection_stats(_docs(spark, folder)).where("page_df >= 2"))
 
 
 @query("m12_witnessed_case")
 def witnessed_case(spark, folder):
     line = F.col("line")
     rows = T.wrapped(_docs(spark, folder)).select(F.concat_ws(":", "doc_id", "pos").alias("row_id"), F.regexp_replace("line", r"\b(\p{Ll}{3})(\p{Ll}{2})\b", "$1X$2").alias("text"), F.regexp_replace(line, "X", "").alias("one"), line.alias("two"))
-    known = statistics.term_stats(T.tokens(_docs(spark, folder))).select("term")
+    known = statistics.collection_stats(_docs(spark, folder)).select("term")
     return repair.case_decisions(rows, ("one", "two"), known, known.where("false"), letters="A-Za-z")
 
 

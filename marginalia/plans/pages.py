@@ -34,7 +34,7 @@ def _docs(spark, folder):
 
 
 def _stats(spark, folder):
-    return statistics.term_stats(T.tokens(_docs(spark, folder)))
+    return statistics.collection_stats(_docs(spark, folder))
 
 
 @query(
