@@ -64,9 +64,14 @@ def trigram_candidates(words: DataFrame, lexicon: DataFrame, most: int = 4, top:
 
     a = words.where(F.length("word") >= 6).select("word", grams("word").alias("wg"))
     b = lexicon.where(F.length("term") >= 6).select("term", "count", grams("term").alias("tg"))
-    met = a.select("word", "wg", F.explode("wg").alias("g")).join(b.select("term", "count", "tg", F.explode("tg").alias("g")), "g")
-    shared = met.groupBy("word", "term", "count").agg(F.count("*").alias("common"), F.first(F.size("wg")).alias("nw"), F.first(F.size("tg")).alias("nt"))
-    near = shared.where("word <> term").withColumn("distance", F.levenshtein("word", "term", most)).where("distance >= 0")
+    # only sizes travel with the trigrams, and lengths that are too far apart never meet
+    left = a.select("word", F.length("word").alias("_n"), F.size("wg").alias("nw"), F.explode("wg").alias("g"))
+    right = b.select("term", "count", F.length("term").alias("_m"), F.size("tg").alias("nt"), F.explode("tg").alias("g"))
+    met = left.join(right, "g").where((F.abs(F.col("_n") - F.col("_m")) <= most) & (F.col("word") != F.col("term")))
+    met = met.groupBy("word", "term", "count", "nw", "nt").agg(F.count("*").alias("common"))
+    # an edit touches three trigrams at most
+    met = met.where(F.col("common") >= F.greatest("nw", "nt") - 3 * most)
+    near = met.withColumn("distance", F.levenshtein("word", "term", most)).where("distance >= 0")
     scored = near.withColumn("jaccard", F.round(F.col("common") / (F.col("nw") + F.col("nt") - F.col("common")), 6))
     order = Window.partitionBy("word").orderBy(F.desc("jaccard"), "distance", F.desc("count"), "term")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("word", "term", "jaccard", "distance", "rank")
