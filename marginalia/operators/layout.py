@@ -111,13 +111,24 @@ def margins(rows: DataFrame, least: int = 3) -> DataFrame:
     )
 
 
+def _resembles(met: SequenceMatcher, seed: str, least: float) -> bool:
+    """Whether the ratio is ``least`` or more; lengths and letters bound it
+    from above, so most texts are never matched."""
+    a, b = len(seed), len(met.b)
+    if 2.0 * min(a, b) < least * (a + b):
+        return False
+    met.set_seq1(seed)
+    return met.quick_ratio() >= least and met.ratio() >= least
+
+
 def clustered(signatures: list[tuple[str, int]], least: float = 0.9) -> dict[str, str]:
     """Variants absorbed by seeds, most frequent first; a variant joins the
     first seed it resembles and never seeds others itself."""
     seeds: list[str] = []
     out: dict[str, str] = {}
     for name, n in sorted(signatures, key=lambda s: (-s[1], s[0])):
-        home = next((s for s in seeds if SequenceMatcher(None, s, name).ratio() >= least), None)
+        met = SequenceMatcher(None, "", name)
+        home = next((s for s in seeds if _resembles(met, s, least)), None)
         out[name] = home or name
         if home is None and n >= 3:
             seeds.append(name)
