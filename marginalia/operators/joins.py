@@ -11,21 +11,71 @@ from marginalia.functions import text as X
 from marginalia.sources.settle import settled
 
 
+#: How many times ``reach`` a bucket of :func:`bucketed` is wide.
+_WIDE = 32
+_BUCKET = ("_by", "_bucket")
+
+
+def bucketed(places: DataFrame, kinds: list[str], reach: float) -> DataFrame:
+    """``places`` in buckets of places, sorted, for :func:`beside`: a row that
+    is of a kind and near a bucket's edge goes into both, its ``_left`` into one.
+
+    ``places(_by, _at, _id, _left, <kinds>)``: a row that asks has a struct
+    ``_left``, one that is of a kind has a value there; others have nulls."""
+    place = F.col("_at").cast("double")
+    cut = lambda c: F.floor(c / (_WIDE * reach))
+    of_kind = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in kinds])
+    both = F.when(of_kind, F.sequence(cut(place - 1.5 * reach), cut(place + 1.5 * reach)))  # more than reach, for rounding
+    rows = places.where(of_kind | F.col("_left").isNotNull()).withColumn("_bucket", F.explode(F.coalesce(both, F.array(cut(place)))))
+    rows = rows.withColumn("_left", F.when(F.col("_bucket").eqNullSafe(cut(place)), F.col("_left")))
+    return rows.repartition(*_BUCKET).sortWithinPartitions(*_BUCKET, "_at", "_id")
+
+
+def beside(rows: DataFrame, kinds: list[str], reach: float) -> DataFrame:
+    """Rows of :func:`bucketed` where each of ``kinds`` holds the nearest row
+    of that kind with the same ``_by`` less than ``reach`` away, as a struct of
+    ``gap``, ``id`` and ``m``, the value it has there; or null.  Ties go to the
+    least id.
+
+    The nearest is the last of the kind in the order of places or the next one,
+    so rows are sorted and no pairs are made, however many are near each other.
+    Several calls on the same buckets share a shuffle and a sort.
+    """
+    names, in_order = ", ".join(_BUCKET), "ORDER BY _at, _id"
+    before = {f"_last_{k}": F.expr(f"lag(IF({k} IS NOT NULL, _at, NULL), 1) IGNORE NULLS OVER (PARTITION BY {names} {in_order})") for k in kinds}
+    # Of rows at one place the first, which has the least id, stands for all.
+    rows = rows.withColumns(before).withColumns({k: F.when(F.col(k).isNotNull() & ~F.col("_at").eqNullSafe(F.col(f"_last_{k}")), F.struct("_at", F.col("_id").alias("id"), F.col(k).alias("m"))) for k in kinds})
+    near = {}
+    for k in kinds:
+        gap = lambda c: F.abs(F.col("_at") - c["_at"])
+        near[k] = F.least(*[F.when(F.col("_by").isNotNull() & (gap(c) < reach), F.struct(gap(c).alias("gap"), c["id"].alias("id"), c["m"].alias("m"))) for c in (F.col(f"_last_{k}"), F.col(f"_next_{k}"))])
+    return _around(rows, kinds).withColumns(near).drop(*[f"_{way}_{k}" for k in kinds for way in ("last", "next")])
+
+
+def without(rows: DataFrame, kind: str, reach: float) -> DataFrame:
+    """Rows of :func:`bucketed` in buckets where one asks that has no row of
+    ``kind`` less than ``reach`` away; the others no longer ask."""
+    near = lambda c: F.abs(F.col("_at") - F.col(c)) < reach
+    met = F.col("_by").isNotNull() & (F.coalesce(near(f"_last_{kind}"), F.lit(False)) | F.coalesce(near(f"_next_{kind}"), F.lit(False)))
+    found = _around(rows.withColumn(kind, F.when(F.col(kind).isNotNull(), F.col("_at"))), [kind]).withColumn("_left", F.when(~met, F.col("_left"))).drop(kind, f"_last_{kind}", f"_next_{kind}")
+    return found.withColumn("_any", F.max(F.col("_left").isNotNull()).over(Window.partitionBy(*_BUCKET))).where("_any").drop("_any")
+
+
+def _around(rows: DataFrame, kinds: list[str]) -> DataFrame:
+    """For each of ``kinds`` its last value up to a row's place, and the next."""
+    order = Window.partitionBy(*_BUCKET).orderBy("_at")
+    last = {f"_last_{k}": F.last(k, ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)) for k in kinds}
+    return rows.withColumns(last | {f"_next_{k}": F.expr(f"lead({k}, 1) IGNORE NULLS OVER (PARTITION BY {', '.join(_BUCKET)} ORDER BY _at)") for k in kinds})
+
+
 def nearest(left: DataFrame, right: DataFrame, by: str, left_at: str, right_at: str, reach: float, left_id: str, right_id: str) -> DataFrame:
     """Per left row the nearest right row of the same ``by`` less than
     ``reach`` away, ties to the least id; left rows without one keep nulls.
-
-    Positions are cut into buckets of width ``reach``; a right row is copied
-    to its own and both neighbouring buckets, so the join is an equi-join.
-    """
-    a = left.withColumn("_bucket", F.floor(F.col(left_at) / reach))
-    b = right.select(F.col(by).alias("_by"), F.col(right_at).alias("_at"), F.col(right_id).alias("_id"))
-    b = b.withColumn("_b", F.explode(F.array(*[F.floor(F.col("_at") / reach) + k for k in (-1, 0, 1)])))
-    gap = F.abs(F.col(left_at) - F.col("_at"))
-    met = a.join(b, (F.col(by) == F.col("_by")) & (F.col("_bucket") == F.col("_b")) & (gap < reach))
-    best = met.groupBy(left_id).agg(F.min(F.struct(gap.alias("gap"), F.col("_id").alias("id"))).alias("m"))
-    best = best.select(F.col(left_id).alias("_left"), F.col("m.id").alias("nearest_id"), F.col("m.gap").alias("gap"))
-    return left.join(best, F.col(left_id) == F.col("_left"), "left").drop("_left")
+    Both are shuffled once; see :func:`beside`."""
+    own = left.select(F.col(by).alias("_by"), F.col(left_at).alias("_at"), F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_left"))
+    peers = right.select(F.col(by).alias("_by"), F.col(right_at).alias("_at"), F.col(right_id).alias("_id"), F.lit(True).alias("near"))
+    met = beside(bucketed(own.unionByName(peers, allowMissingColumns=True), ["near"], reach), ["near"], reach)
+    return met.where("_left is not null").select("_left.*", F.col("near.id").alias("nearest_id"), F.col("near.gap").alias("gap"))
 
 
 def _in_buckets(rows: DataFrame, width: int) -> DataFrame:

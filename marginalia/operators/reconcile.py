@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,9 +14,9 @@ from pyspark.sql import types as T
 
 from marginalia.functions import matching
 from marginalia.functions import text as X
-from marginalia.functions.similarity import WORD, seq_ratio
+from marginalia.functions.similarity import WORD, seq_over, seq_ratio
 from marginalia.operators import rowrules
-from marginalia.operators.joins import nearest
+from marginalia.operators.joins import beside, bucketed, nearest, without
 from marginalia.sources.settle import settled
 
 
@@ -241,17 +242,27 @@ def missing_lines(primary: DataFrame, embedded: DataFrame, second: DataFrame, th
     fresh ones are near and alike, else ``review``.
 
     Rows have ``row_id, page, centre, text``."""
-    wanted = embedded.where(F.length("text") >= 8)
-    alone = nearest(wanted, primary, "page", "centre", "centre", reach, "row_id", "row_id").where("nearest_id is null").drop("nearest_id", "gap")
-
-    def beside(rows: DataFrame, other: DataFrame, name: str) -> DataFrame:
-        met = nearest(rows, other, "page", "centre", "centre", reach, "row_id", "row_id").withColumnRenamed("nearest_id", "_id").drop("gap")
-        return met.join(other.select(F.col("row_id").alias("_id"), F.col("text").alias(name)), "_id", "left").drop("_id")
-
-    both = beside(beside(alone, second, "_second"), third, "_third")
-    alike = seq_ratio(F.array_join(X.comparable(F.coalesce("_second", F.lit(""))), " "), F.array_join(X.comparable(F.coalesce("_third", F.lit(""))), " ")) > 0.8
-    insert = F.col("_second").isNotNull() & F.col("_third").isNotNull() & alike
-    return both.select("page", "row_id", F.when(insert, F.col("_second")).otherwise(F.col("text")).alias("text"), F.when(insert, "insert").otherwise("review").alias("action"))
+    read = F.struct("text")
+    roles = [(primary, {"primary": F.lit(True)}), (embedded, {"text": F.col("text")}), (second, {"second": read}), (third, {"third": read})]
+    each = [rows.select("page", "row_id", "centre", *[c.alias(n) for n, c in role.items()]) for rows, role in roles]
+    return missing_readings(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), each), reach)
+
+
+def missing_readings(rows: DataFrame, reach: float = 0.012) -> DataFrame:
+    """:func:`missing_lines` of readings in one table, where a row that several
+    of them have stands once: ``rows(page, row_id, centre, text, primary,
+    second, third)`` with the embedded ``text``, null if that has no such row,
+    whether the primary has it, and structs of ``text`` of the fresh readings,
+    null likewise.  Every reading is looked up in one shuffle."""
+    places = rows.select(
+        F.col("page").alias("_by"), F.col("centre").alias("_at"), F.col("row_id").alias("_id"), F.when(F.length("text") >= 8, F.struct("text")).alias("_left"), F.when(F.col("primary"), True).alias("have"), "second", "third"
+    )
+    alone = without(bucketed(places, ["have", "second", "third"], reach), "have", reach)
+    met = beside(alone, ["second", "third"], reach).where("_left is not null")
+    both = met.select(F.col("_by").alias("page"), F.col("_id").alias("row_id"), "_left.text", F.col("second.m.text").alias("_second"), F.col("third.m.text").alias("_third"))
+    words = lambda c: F.when(F.col("_second") != F.col("_third"), F.array_join(X.comparable(F.col(c)), " "))
+    insert = F.col("_second").isNotNull() & F.col("_third").isNotNull() & F.coalesce(seq_over(words("_second"), words("_third"), F.lit(0.8)), F.lit(True))
+    return both.withColumn("_insert", insert).select("page", "row_id", F.when(F.col("_insert"), F.col("_second")).otherwise(F.col("text")).alias("text"), F.when(F.col("_insert"), "insert").otherwise("review").alias("action"))
 
 
 def region_recovery(rows: DataFrame, second: DataFrame, third: DataFrame, reach: float = 0.012) -> DataFrame:

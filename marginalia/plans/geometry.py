@@ -468,8 +468,8 @@ def aligned(spark, folder):
 @query("j24_missing_lines")
 def missing_lines(spark, folder):
     rows = _wrapped(spark, folder).select("page", F.concat_ws(":", "page", "row").alias("row_id"), "row", ((F.col("y0") + F.col("y1")) / 2).alias("centre"), "text")
-    third = rows.withColumn("text", F.when(F.col("row") % 6 == 3, F.reverse("text")).otherwise(F.col("text")))
-    return reconcile.missing_lines(rows.where("row % 3 <> 0").drop("row"), rows.drop("row"), rows.drop("row"), third.drop("row"))
+    third = F.when(F.col("row") % 6 == 3, F.reverse("text")).otherwise(F.col("text"))
+    return reconcile.missing_readings(rows.select("page", "row_id", "centre", "text", (F.col("row") % 3 != 0).alias("primary"), F.struct("text").alias("second"), F.struct(third.alias("text")).alias("third")))
 
 
 @query("m7_seam_candidates")
