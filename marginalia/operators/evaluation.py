@@ -119,9 +119,13 @@ def text_errors(pages: DataFrame, group: str) -> DataFrame:
 _POISSON = list(accumulate(exp(-1) / factorial(k) for k in range(18)))
 
 
-def _draws(*parts: Column) -> Column:
-    """How often something is drawn: a Poisson number made from a hash."""
-    share = F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))
+def _share(*parts: Column) -> Column:
+    """A number from 0 to 1 made from a hash."""
+    return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))
+
+
+def _draws(share: Column) -> Column:
+    """How often something is drawn: the Poisson number of a share."""
     out = F.lit(len(_POISSON))
     for n, top in reversed(list(enumerate(_POISSON))):
         out = F.when(share < top, n).otherwise(out)
@@ -138,17 +142,24 @@ def bootstrap(rows: DataFrame, book: str, page: str, values: dict[str, tuple[Col
     replicate is a Poisson number made from a hash of (seed, replicate, book,
     page), the limit of drawing with replacement.  So no group is gathered
     anywhere, each replicate is pre-aggregated before the shuffle, and a run can
-    be repeated.  Fewer than two books, or a hundred replicates, give no row.
+    be repeated.  Pages are dealt over all tasks, as a few bytes of them make
+    many draws; a hash is a column of its own before it is compared, since
+    eighteen copies of it are more than the JVM compiles.  Fewer than two books,
+    or a hundred replicates, give no row.
     """
     if replicates < 100:
         raise ValueError("an interval needs a hundred replicates")
     ratios = {n: v for n, v in values.items() if " - " not in n}
     sums = [F.sum(v[k]).cast("double").alias(f"_{i}_{k}") for i, v in enumerate(ratios.values()) for k in (0, 1)]
+    spark = rows.sparkSession
+    # By other keys than the sums are grouped by, or the planner drops it and joins all pages in one task.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     pages = rows.groupBy(F.col(book).alias("_book"), F.col(page).alias("_page")).agg(*sums)
     names = [f"_{i}_{k}" for i in range(len(ratios)) for k in (0, 1)]
-    spread = pages.select("_book", "_page", *names, F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
-    weight = _draws(F.lit(seed), F.col("r"), F.col("_book")) * _draws(F.lit(seed + 1), F.col("r"), F.col("_book"), F.col("_page"))
-    drawn = spread.withColumn("w", weight).where("w > 0").groupBy("r").agg(*[F.sum(F.col("w") * F.col(n)).alias(n) for n in names])
+    spread = pages.repartition(tasks, "_page", "_book").select("_book", "_page", *names, F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
+    shares = spread.select("r", *names, _share(F.lit(seed), F.col("r"), F.col("_book")).alias("_of_book"), _share(F.lit(seed + 1), F.col("r"), F.col("_book"), F.col("_page")).alias("_of_page"))
+    some = shares.where((F.col("_of_book") >= _POISSON[0]) & (F.col("_of_page") >= _POISSON[0]))
+    drawn = some.withColumn("w", _draws(F.col("_of_book")) * _draws(F.col("_of_page"))).groupBy("r").agg(*[F.sum(F.col("w") * F.col(n)).alias(n) for n in names])
     each = {n: F.try_divide(F.col(f"_{i}_0"), F.col(f"_{i}_1")) for i, n in enumerate(ratios)}
     for n in values:
         if " - " in n:
